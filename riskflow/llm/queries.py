@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import digest, scan_versions
+
+    return digest(scan_versions(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"), vocabulary("pieces"))
+
+
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import store_tokens
 
@@ -30,5 +42,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("words"), end=1)
 
 
-QUERIES = {"op3_token_planes": op3_token_planes, "op10_packing": op10_packing}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
