@@ -36,11 +36,17 @@ def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"), vocabulary("bytes"), end=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary("words"), end=1)
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op10_packing": op10_packing}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op5_toxicity": op5_toxicity, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
