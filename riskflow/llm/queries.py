@@ -42,11 +42,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary("words"), end=1)
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op5_toxicity": op5_toxicity, "op10_packing": op10_packing}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op5_toxicity": op5_toxicity, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
