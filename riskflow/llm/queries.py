@@ -36,6 +36,12 @@ def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_tokens(table(spark, sf_dir, "documents"), vocabulary("bytes"), end=2)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -54,5 +60,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("words"), end=1)
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op5_toxicity": op5_toxicity, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
