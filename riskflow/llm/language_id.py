@@ -51,16 +51,21 @@ class Pieces:
         self.by = {}
         for n, own in by.items():
             own.sort()
-            self.by[n] = (np.array([h for h, _ in own], np.uint64), np.array([k for _, k in own], np.int64))
+            keys, bits = np.array([h for h, _ in own], np.uint64), np.zeros(1 << 16, bool)
+            bits[(keys >> np.uint64(48)).astype(np.int64)] = True
+            self.by[n] = (keys, np.array([k for _, k in own], np.int64), bits)
 
     def match(self, hashes: PrefixHash, n: int) -> np.ndarray:
         """The piece number of each window of n characters, or -1."""
         h = hashes.windows(n)
-        if n not in self.by or not len(h):
-            return np.full(len(h), -1, np.int64)
-        keys, pieces = self.by[n]
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        return np.where(keys[at] == h, pieces[at], -1)
+        out = np.full(len(h), -1, np.int64)
+        if n in self.by and len(h):
+            keys, pieces, bits = self.by[n]
+            may = np.flatnonzero(bits[(h >> np.uint64(48)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(keys, h[may]), len(keys) - 1)
+            hit = keys[at] == h[may]
+            out[may[hit]] = pieces[at[hit]]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -107,7 +112,7 @@ def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray
     index.setdefault(1, np.full(total + 1, pieces.size, np.int64))
     table = np.vstack([prob, np.zeros((1, k))])
     single = np.maximum(table, FLOOR)
-    out = np.zeros((len(words.n), k))
+    out, used, mass = np.zeros((len(words.n), k)), [], []
     groups = [np.flatnonzero(words.n == n) for n in range(2, SIDE_BY_SIDE + 1)] + [np.array([w]) for w in np.flatnonzero(words.n > SIDE_BY_SIDE)]
     for group in groups:
         if not len(group):
@@ -131,26 +136,37 @@ def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray
                         value += np.exp(scale[i - n] - scale[i - 1]) * (single if n == 1 else table)[index[n][start + i - n]]
                 scale[i] = scale[i - 1] + np.log(value)
         out[group] = scale[length]
-        if expected is not None:
-            beta = np.full((length + 1, len(group), k), -np.inf)  # logs
-            beta[length] = 0.0
+        if expected is None:
+            continue
+        if length <= SIDE_BY_SIDE:
+            beta = np.zeros((length + 1, len(group), k))
+            beta[length] = weights[group] / alpha[length]
             for i in range(length - 1, -1, -1):
                 for n in reach:
                     if i + n <= length:
-                        p = (single if n == 1 else table)[index[n][start + i]]
-                        with np.errstate(divide="ignore"):
-                            beta[i] = np.logaddexp(beta[i], np.log(p) + beta[i + n])
-            for i in range(length):
+                        piece = index[n][start + i]
+                        ahead = (single if n == 1 else table)[piece] * beta[i + n]
+                        beta[i] += ahead
+                        has = np.flatnonzero(piece < pieces.size)
+                        used.append(piece[has])
+                        mass.append(alpha[i][has] * ahead[has] * (table[piece[has]] > 0))
+        else:
+            beta = np.full((length + 1, len(group), k), -np.inf)  # logs
+            beta[length] = 0.0
+            for i in range(length - 1, -1, -1):
                 for n in reach:
                     if i + n <= length:
                         piece = index[n][start + i]
-                        has = piece < pieces.size
-                        if has.any():
-                            p = table[piece[has]]
-                            with np.errstate(divide="ignore"):
-                                mass = np.exp(scale[i][has] + np.log(p) + beta[i + n][has] - scale[length][has]) * weights[group][has]
-                            for lang in range(k):
-                                expected[:, lang] += np.bincount(piece[has], mass[:, lang], pieces.size)
+                        with np.errstate(divide="ignore"):
+                            ahead = np.log((single if n == 1 else table)[piece]) + beta[i + n]
+                        beta[i] = np.logaddexp(beta[i], ahead)
+                        has = np.flatnonzero(piece < pieces.size)
+                        used.append(piece[has])
+                        mass.append(np.exp(scale[i][has] + ahead[has] - scale[length][has]) * weights[group][has] * (table[piece[has]] > 0))
+    if used:
+        piece, value = np.concatenate(used), np.concatenate(mass)
+        for lang in range(k):
+            expected[:, lang] += np.bincount(piece, value[:, lang], pieces.size)
     return out
 
 

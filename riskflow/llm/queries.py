@@ -48,6 +48,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import digest, without_repeats
+
+    return digest(without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import nearest
 
@@ -72,5 +78,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("words"), end=1)
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op7_nearest": op7_nearest, "op8_quotations": op8_quotations, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_suffix_dedup": op6_suffix_dedup, "op7_nearest": op7_nearest, "op8_quotations": op8_quotations, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {}
