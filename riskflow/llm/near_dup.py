@@ -2,13 +2,16 @@
 
 A document is its sequence of words (runs of letters and digits, lower case) and the multiset of its five-word
 shingles, each labelled with the number of its occurrence. A sketch takes the `TAKE` smallest labelled shingles under one
-hash and keeps them in the order of the text; two documents are candidates if any of `SKETCHES` sketches agree.
+hash and keeps them in the order of the text; two documents are candidates if two of `SKETCHES` sketches agree, so a bucket
+is a pair of sketches. (Two documents at the least similarity agree in half of the sketches on average, and with
+probability 0.9998 in two or more; one agreement alone comes mostly from a passage that many documents share.)
 A candidate pair is a near duplicate if the multiset Jaccard similarity of the shingles is 0.8 or more and an
 alignment of the words inside a band has at most a fifth of the words unmatched.
 
 Documents with the same words are collapsed first, so that groups of copies never meet in one task. In each bucket of
-equal sketches, members are compared with the bucket's smallest member only, never pair by pair; members that differ
-from it form the bucket of the next round. Pairs already known to be in one class are not compared again. Each round
+equal sketches, members are compared with the bucket's smallest member only, not pair by pair; members that differ
+from it form the bucket of the next round. Buckets of up to `GROUP` members left after two rounds are finished inside
+one task, which returns verified pairs alone. Pairs already known to be in one class are not compared again. Each round
 ends in a written table. Classes are connected components of verified pairs; the class id is the smallest doc_id.
 
 Nulls and odd input: a null or empty text, or one without words, has the empty sequence; all of these are copies of
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 from .flat import FlatTexts, PrefixHash
 from .shared import Scratch, maybe_broadcast, mix, slices
 
-SHINGLE, TAKE, SKETCHES, LEAST = 5, 3, 12, 0.8
+SHINGLE, TAKE, SKETCHES, LEAST = 5, 3, 16, 0.8
+#: Buckets of at most so many members that are left after two rounds are compared inside one task.
+GROUP = 256
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
 
@@ -158,7 +163,10 @@ def unmatched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
 
 
 def alike(a: str | None, b: str | None) -> bool:
-    (x, _), (y, _) = word_hashes([a]), word_hashes([b])
+    return alike_words(word_hashes([a])[0], word_hashes([b])[0])
+
+
+def alike_words(x: np.ndarray, y: np.ndarray) -> bool:
     return jaccard(x, y) >= LEAST and unmatched(x, y, int((1 - LEAST) * (len(x) + len(y)))) is not None
 
 
@@ -168,6 +176,20 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], names=["a", "b", "good"])
 
 
+def _inside(table: pa.Table) -> pa.Table:
+    """The near-duplicate pairs of one small bucket. A pair that shares too little is dropped by its sets of shingles."""
+    ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    words = [word_hashes([texts[i]])[0] for i in order]
+    found = []
+    for i in range(len(order)):
+        for j in range(i):
+            least, most = sorted((len(words[i]), len(words[j])))
+            if least >= LEAST * most - SHINGLE and alike_words(words[i], words[j]):
+                found.append((ids[order[i]], ids[order[j]]))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """pairs (a, b) with `good`. Each text travels once for all its pairs on the side of `b`, once for each pair on that of `a`."""
     left = docs.join(maybe_broadcast(pairs, n, 24), F.col("doc_id") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
@@ -201,7 +223,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # One text for each sequence of words; its id is the smallest doc_id that has it.
     texts = scratch.keep(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     own = rows.join(texts, ["h1", "h2"]).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["doc_id"])
-    buckets = own.select("rep", F.posexplode("sketches").alias("band", "sketch")).filter("sketch <> 0").select("rep", F.xxhash64("band", "sketch").alias("bucket"))
+    single = own.select("rep", F.posexplode("sketches").alias("band", "sketch")).filter("sketch <> 0")
+    met = single.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "sketch")
+    shared = single.join(met, ["band", "sketch"]).groupBy("rep").agg(F.array_sort(F.collect_list(F.xxhash64("band", "sketch"))).alias("s")).filter("size(s) > 1")
+    shared = scratch.keep(shared, "shared")
+    pair = F.flatten(F.transform("s", lambda x: F.transform(F.filter("s", lambda y: y > x), lambda y: F.xxhash64(x, y))))
+    buckets = shared.select("rep", F.explode(pair).alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = scratch.keep(buckets.join(hubs.select("bucket", "hub"), "bucket"), "members-0")
     reps = docs.join(maybe_broadcast(members.select(F.col("rep").alias("doc_id")).distinct(), members.count(), 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -230,7 +257,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # Members in the class of their hub are done; the others go on without it.
         left = _labelled(members.select("bucket", F.col("rep").alias("a"), F.col("hub").alias("b")), labels).filter("la <> lb").select("bucket", F.col("a").alias("rep"))
         again = left.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        members = scratch.keep(left.join(again.select("bucket", "hub"), "bucket"), f"members-{step}")
+        members = scratch.keep(left.join(again, "bucket").select("bucket", "rep", "hub", "n"), f"members-{step}")
+        small = members.filter(F.col("n") <= GROUP).select("bucket", F.col("rep").alias("doc_id")).distinct()
+        if small.limit(1).count():
+            texts_in = reps.join(maybe_broadcast(small, small.count(), 24), "doc_id").select("bucket", "doc_id", "text")
+            more = scratch.keep(texts_in.groupBy("bucket").applyInArrow(_inside, "a long, b long").distinct(), f"inside-{step}")
+            good = more if good is None else good.union(more).distinct()
+            if more.limit(1).count():
+                labels = components(good, scratch, f"labels-{step}-inside")
+        members = members.filter(F.col("n") > GROUP).select("bucket", "rep", "hub")
         if not members.limit(1).count():
             break
     if labels is not None:
