@@ -83,8 +83,8 @@ def _psi(column: str) -> str:
     steps = ",".join(str(i / 10) for i in range(11))
     return _with(
         "Z",
-        f""", vv as (select {column}::double v, txn_ts < {MID} r from Z), ee as (select list_sort(list_distinct(list_transform(quantile_cont(v, [{steps}]), x -> round(x,6)))) e from vv where r),
- bb as (select least(len(list_filter(e, x -> x <= v)), len(e)-1) bin, r from vv, ee where v>=e[1] and v<=e[len(e)] and len(e)>1),
+        f""", vv as (select {column}::double v, txn_ts < {MID} r from Z), ee as (select list_sort(list_distinct(list_transform(quantile_cont(v, [{steps}]), lambda x: round(x,6)))) e from vv where r),
+ bb as (select least(len(list_filter(e, lambda x: x <= v)), len(e)-1) bin, r from vv, ee where v>=e[1] and v<=e[len(e)] and len(e)>1),
  n as (select bin, count(*) filter (r) nr, count(*) filter (not r) nc from bb group by 1), tt as (select count(*) filter (r) tr, count(*) filter (not r) tc from vv),
  g as (select unnest(range(1, greatest(1, len(e)))) bin from ee),
  x as (select greatest(coalesce(nr,0)/tr::double, 1e-6) a, greatest(coalesce(nc,0)/tc::double, 1e-6) c from g left join n using (bin), tt)
