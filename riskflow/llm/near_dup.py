@@ -115,16 +115,22 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists], names=["doc_id", "h1", "h2", "sketches"])
 
 
+def labelled(words: np.ndarray) -> np.ndarray:
+    """The shingles of one text, labelled with their occurrence, so that each is there once."""
+    keys, doc = shingles(words, np.zeros(len(words), np.int64))
+    return mix(keys ^ mix(occurrence(keys, doc).astype(np.uint64) + np.uint64(77)))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    if not len(a) and not len(b):
+        return 1.0
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Multiset similarity of two texts' shingles, from their word hashes."""
-    sets = []
-    for words in (a, b):
-        keys, doc = shingles(words, np.zeros(len(words), np.int64))
-        sets.append(mix(keys ^ mix(occurrence(keys, doc).astype(np.uint64) + np.uint64(77))))
-    if not len(sets[0]) and not len(sets[1]):
-        return 1.0
-    both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-    return both / (len(sets[0]) + len(sets[1]) - both)
+    return similarity(labelled(a), labelled(b))
 
 
 def unmatched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -162,12 +168,13 @@ def unmatched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return None
 
 
-def alike(a: str | None, b: str | None) -> bool:
-    return alike_words(word_hashes([a])[0], word_hashes([b])[0])
+def aligned(x: np.ndarray, y: np.ndarray) -> bool:
+    return unmatched(x, y, int((1 - LEAST) * (len(x) + len(y)))) is not None
 
 
-def alike_words(x: np.ndarray, y: np.ndarray) -> bool:
-    return jaccard(x, y) >= LEAST and unmatched(x, y, int((1 - LEAST) * (len(x) + len(y)))) is not None
+def alike(a: str | None, b: str | None) -> bool:
+    x, y = word_hashes([a])[0], word_hashes([b])[0]
+    return jaccard(x, y) >= LEAST and aligned(x, y)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,11 +188,12 @@ def _inside(table: pa.Table) -> pa.Table:
     ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
     order = sorted(range(len(ids)), key=ids.__getitem__)
     words = [word_hashes([texts[i]])[0] for i in order]
+    sets = [np.sort(labelled(w)) for w in words]
     found = []
     for i in range(len(order)):
         for j in range(i):
-            least, most = sorted((len(words[i]), len(words[j])))
-            if least >= LEAST * most - SHINGLE and alike_words(words[i], words[j]):
+            least, most = sorted((len(sets[i]), len(sets[j])))
+            if least >= LEAST * most and similarity(sets[i], sets[j]) >= LEAST and aligned(words[i], words[j]):
                 found.append((ids[order[i]], ids[order[j]]))
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
@@ -202,12 +210,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     both = scratch.keep(both, f"{name}-links")
     labels = scratch.keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-0")
-    step = 0
+    n, step = labels.count(), 0
     while True:
         step += 1
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        hop = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
-        jump = hop.join(labels.select(F.col("node").alias("low"), F.col("label").alias("far")), "low").select("node", F.least("low", "far").alias("new"), "label")
+        near = both.join(maybe_broadcast(labels.select(F.col("node").alias("b"), "label"), n, 16), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        hop = near.join(maybe_broadcast(labels, n, 16), "node").select("node", "label", F.least("label", "near").alias("low"))
+        jump = hop.join(maybe_broadcast(labels.select(F.col("node").alias("low"), F.col("label").alias("far")), n, 16), "low").select("node", F.least("low", "far").alias("new"), "label")
         new = scratch.keep(jump, f"{name}-{step}")
         changed = new.filter("new <> label").limit(1).count()
         labels = new.select("node", F.col("new").alias("label"))
@@ -230,7 +238,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pair = F.flatten(F.transform("s", lambda x: F.transform(F.filter("s", lambda y: y > x), lambda y: F.xxhash64(x, y))))
     buckets = shared.select("rep", F.explode(pair).alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = scratch.keep(buckets.join(hubs.select("bucket", "hub"), "bucket"), "members-0")
+    hubs = scratch.keep(hubs.select("bucket", "hub"), "hubs")
+    members = scratch.keep(buckets.join(maybe_broadcast(hubs, hubs.count(), 24), "bucket"), "members-0")
     reps = docs.join(maybe_broadcast(members.select(F.col("rep").alias("doc_id")).distinct(), members.count(), 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = scratch.keep(reps, "reps")
     good, tested, labels, step = None, None, None, 0
@@ -240,7 +249,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if step == 1:  # first, each text with the hub that it meets most often; most other pairs then need no look
             pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
         else:
-            pairs = pairs.select("a", "b").join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.select("a", "b").join(maybe_broadcast(tested, tested.count(), 24), ["a", "b"], "left_anti")
             pairs = _labelled(pairs, labels).filter("la <> lb").select("a", "b")
         pairs = scratch.keep(pairs, f"pairs-{step}")
         n = pairs.count()
@@ -257,7 +266,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # Members in the class of their hub are done; the others go on without it.
         left = _labelled(members.select("bucket", F.col("rep").alias("a"), F.col("hub").alias("b")), labels).filter("la <> lb").select("bucket", F.col("a").alias("rep"))
         again = left.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        members = scratch.keep(left.join(again, "bucket").select("bucket", "rep", "hub", "n"), f"members-{step}")
+        again = scratch.keep(again, f"hubs-{step}")
+        members = scratch.keep(left.join(maybe_broadcast(again, again.count(), 32), "bucket").select("bucket", "rep", "hub", "n"), f"members-{step}")
         small = members.filter(F.col("n") <= GROUP).select("bucket", F.col("rep").alias("doc_id")).distinct()
         if small.limit(1).count():
             texts_in = reps.join(maybe_broadcast(small, small.count(), 24), "doc_id").select("bucket", "doc_id", "text")
@@ -279,8 +289,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """pairs with the classes la and lb of their ends; a text without links is its own class."""
+    n = labels.count()
     for side, name in (("a", "la"), ("b", "lb")):
-        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("label").alias(name)), side, "left").withColumn(name, F.coalesce(name, side))
+        pairs = pairs.join(maybe_broadcast(labels.select(F.col("node").alias(side), F.col("label").alias(name)), n, 16), side, "left").withColumn(name, F.coalesce(name, side))
     return pairs
 
 
