@@ -13,9 +13,13 @@ _shipped: set[str] = set()
 
 
 def session(name: str = "riskflow", **conf: str) -> SparkSession:
-    """UTC, adaptive execution with skew handling; sizes are left to the cluster's own settings."""
+    """UTC, adaptive execution with skew handling; sizes are left to the cluster's own settings.
+
+    Unions don't claim a partitioning: with it, this Spark version can plan a chain of merges over sides of different
+    partition counts and fail.
+    """
     builder = SparkSession.builder.appName(name)
-    for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", **conf}.items():
+    for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.unionOutputPartitioning": "false", **conf}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
 
