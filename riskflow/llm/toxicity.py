@@ -56,7 +56,7 @@ LEAST_LOG = -4.0
 _SIGN = re.escape("".join(LOOKALIKES) + MASKS)
 _EDGE = r"0-9@$€"
 _SPACED = re.compile(rf"(?<![^\s])(?:[^\W_]|[{_SIGN}])(?:[ ._\-](?:[^\W_]|[{_SIGN}])){{2,}}(?![^\s.,;:?])")
-_MIXED = re.compile(rf"(?:[^\W\d_]|[{_EDGE}])(?:[^\W\d_]|[{_SIGN}])*(?:[^\W\d_]|[{_EDGE}])")
+_MIXED = re.compile(rf"(?<![^\W\d_])(?=[^\W\d_]*[{_SIGN}])(?:[^\W\d_]|[{_EDGE}])(?:[^\W\d_]|[{_SIGN}])*(?:[^\W\d_]|[{_EDGE}])")
 _WORD = re.compile(r"[^\W\d_]+")
 _REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _DOTTED = re.compile(r"[ ._\-]")
@@ -169,13 +169,16 @@ def suspicious(flat: FlatTexts) -> np.ndarray:
     """Whether each text has a place where a token may be obfuscated: a superset of what the restorer's patterns match."""
     c = flat.codes
     letter, sign = char_class("alpha")[c], _signs()[c]
-    own = letter | sign
+    edge, own = sign & ~np.isin(c, [ord(x) for x in "!|+*#"]), letter | sign
     at = np.zeros(len(c), bool)
-    at[1:] |= (letter[1:] & sign[:-1]) | (letter[:-1] & sign[1:])
-    if len(c) > 4:
-        at[2:] |= letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2])
+    at[1:] |= (letter[1:] & edge[:-1]) | (letter[:-1] & edge[1:])
+    at[2:] |= (letter[:-2] & sign[1:-1] & own[2:]) | (letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2]))
+    if len(c) > 4:  # three single characters with gaps, none of them part of a word
         gap = np.isin(c, [ord(x) for x in " ._-"])
-        at[4:] |= own[4:] & gap[3:-1] & own[2:-2] & gap[1:-3] & own[:-4]
+        lone = own.copy()
+        lone[1:] &= ~letter[:-1]
+        lone[:-1] &= ~letter[1:]
+        at[4:] |= lone[4:] & gap[3:-1] & lone[2:-2] & gap[1:-3] & lone[:-4]
     return np.add.reduceat(at, flat.start) > 0 if len(flat.start) else at[:0]
 
 
