@@ -8,11 +8,13 @@ probability 0.9998 in two or more; one agreement alone comes mostly from a passa
 A candidate pair is a near duplicate if the multiset Jaccard similarity of the shingles is 0.8 or more and an
 alignment of the words inside a band has at most a fifth of the words unmatched.
 
-Documents with the same words are collapsed first, so that groups of copies never meet in one task. In each bucket of
-equal sketches, members are compared with the bucket's smallest member only, not pair by pair; members that differ
-from it form the bucket of the next round. Buckets of up to `GROUP` members left after two rounds are finished inside
-one task, which returns verified pairs alone. Pairs already known to be in one class are not compared again. Each round
-ends in a written table. Classes are connected components of verified pairs; the class id is the smallest doc_id.
+Documents with the same words are collapsed first, so that groups of copies never meet in one task. Each text is compared
+with the hub (the smallest member) that it meets most often; the classes that follow leave most buckets with one class,
+and these are done. In all other buckets every pair of members is compared unless its ends are in one class already, so
+no link between classes is missed. A pair belongs to the first sketch in which it agrees, so one task alone meets it. The
+members of a sketch are dealt to blocks of `GROUP` texts and `BLOCK_CHARS` characters at most, on average, and a task
+takes two blocks. Rounds end in written tables. Classes are connected components of verified pairs; the class id is the
+smallest doc_id.
 
 Nulls and odd input: a null or empty text, or one without words, has the empty sequence; all of these are copies of
 each other. Texts of one to four words have one shingle of all their words. Rows that repeat a doc_id keep a row each;
@@ -30,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .flat import FlatTexts, PrefixHash
-from .shared import Scratch, maybe_broadcast, mix, slices
+from .shared import Scratch, maybe_broadcast, mix, ragged, slices
 
 SHINGLE, TAKE, SKETCHES, LEAST = 5, 3, 16, 0.8
-#: Buckets of at most so many members that are left after two rounds are compared inside one task.
-GROUP = 256
+#: Texts, and characters of all texts, of a block.
+GROUP, BLOCK_CHARS = 1024, 8 << 20
+#: A sketch's hash in a bucket has its band above so many bits.
+BAND_BITS = 56
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
 
@@ -184,17 +188,54 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _inside(table: pa.Table) -> pa.Table:
-    """The near-duplicate pairs of one small bucket. A pair that shares too little is dropped by its sets of shingles."""
-    ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
-    order = sorted(range(len(ids)), key=ids.__getitem__)
-    words = [word_hashes([texts[i]])[0] for i in order]
-    sets = [np.sort(labelled(w)) for w in words]
-    found = []
-    for i in range(len(order)):
-        for j in range(i):
-            least, most = sorted((len(sets[i]), len(sets[j])))
-            if least >= LEAST * most and similarity(sets[i], sets[j]) >= LEAST and aligned(words[i], words[j]):
-                found.append((ids[order[i]], ids[order[j]]))
+    """The near-duplicate pairs that join classes, among the pairs of two blocks (or inside one) whose first common sketch is x.
+
+    All pairs with a member are counted at once, by the shingles that they share; pairs whose ends have become one class here are skipped.
+    """
+    table = table.combine_chunks()
+    ids, second = table["rep"].to_numpy(), table["second"].to_numpy()
+    order = np.lexsort((ids, second))
+    ids, second = ids[order], second[order]
+    label, n = table["label"].to_numpy()[order].tolist(), len(ids)
+    own = table["s"].to_pylist()
+    bands = np.full((n, SKETCHES), -1, np.int64)
+    for row, at in enumerate(order.tolist()):
+        values = np.array(own[at], np.int64)
+        bands[row, values >> BAND_BITS] = values
+    band = int(table["x"][0].as_py()) >> BAND_BITS
+    words, doc = word_hashes(table["text"].take(pa.array(order)).to_pylist())
+    keys, doc_of = shingles(words, doc)
+    _, keys = np.unique(mix(keys ^ mix(occurrence(keys, doc_of).astype(np.uint64) + np.uint64(77))), return_inverse=True)
+    count, end_of = np.bincount(doc_of, minlength=n), np.cumsum(np.bincount(doc, minlength=n))
+    start = np.cumsum(count) - count
+    text = [words[a:b] for a, b in zip([0, *end_of[:-1]], end_of, strict=True)]
+    two, begin = bool(second.any() and not second.all()), int(np.searchsorted(second, True))
+    known: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := known.get(x, x)) != x:
+            known[x] = known.get(up, up)
+            x = up
+        return x
+
+    found, mark = [], np.zeros(int(keys.max()) + 1 if len(keys) else 1, bool)
+    for i in range(begin if two else n):
+        j = np.arange(begin if two else i + 1, n)
+        same = (bands[j] == bands[i]) & (bands[i] >= 0)
+        j = j[(same.sum(1) > 1) & (same.argmax(1) == band)]
+        j = j[np.minimum(count[j], count[i]) >= LEAST * np.maximum(count[j], count[i])]
+        mine = root(label[i])
+        j = j[np.fromiter((root(label[k]) != mine for k in j.tolist()), bool, len(j))]
+        if not len(j):
+            continue
+        mark[keys[start[i] : start[i] + count[i]]] = True
+        both = np.add.reduceat(mark[keys[ragged(start[j], count[j])]].astype(np.int64), np.cumsum(count[j]) - count[j])
+        mark[keys[start[i] : start[i] + count[i]]] = False
+        for k in j[both / (count[j] + count[i] - both) >= LEAST].tolist():
+            a, b = root(label[i]), root(label[k])
+            if a != b and aligned(text[i], text[k]):
+                known[a] = b
+                found.append((max(ids[i], ids[k]), min(ids[i], ids[k])))
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
@@ -233,51 +274,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = rows.join(texts, ["h1", "h2"]).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["doc_id"])
     single = own.select("rep", F.posexplode("sketches").alias("band", "sketch")).filter("sketch <> 0")
     met = single.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "sketch")
-    shared = single.join(met, ["band", "sketch"]).groupBy("rep").agg(F.array_sort(F.collect_list(F.xxhash64("band", "sketch"))).alias("s")).filter("size(s) > 1")
+    code = F.shiftleft(F.col("band").cast("long"), BAND_BITS).bitwiseOR(F.xxhash64("sketch").bitwiseAND((1 << BAND_BITS) - 1))
+    shared = single.join(met, ["band", "sketch"]).groupBy("rep").agg(F.array_sort(F.collect_list(code)).alias("s")).filter("size(s) > 1")
     shared = scratch.keep(shared, "shared")
-    pair = F.flatten(F.transform("s", lambda x: F.transform(F.filter("s", lambda y: y > x), lambda y: F.xxhash64(x, y))))
-    buckets = shared.select("rep", F.explode(pair).alias("bucket"))
+    pair = F.flatten(F.transform("s", lambda x: F.transform(F.filter("s", lambda y: y > x), lambda y: F.struct(x.alias("x"), F.xxhash64(x, y).alias("bucket")))))
+    buckets = shared.select("rep", F.explode(pair).alias("pair")).select("rep", "pair.x", "pair.bucket")
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     hubs = scratch.keep(hubs.select("bucket", "hub"), "hubs")
-    members = scratch.keep(buckets.join(maybe_broadcast(hubs, hubs.count(), 24), "bucket"), "members-0")
+    members = scratch.keep(buckets.join(maybe_broadcast(hubs, hubs.count(), 24), "bucket"), "members")
     reps = docs.join(maybe_broadcast(members.select(F.col("rep").alias("doc_id")).distinct(), members.count(), 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = scratch.keep(reps, "reps")
-    good, tested, labels, step = None, None, None, 0
-    while True:
-        step += 1
-        pairs = members.filter("rep <> hub").groupBy(F.col("rep").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        if step == 1:  # first, each text with the hub that it meets most often; most other pairs then need no look
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-        else:
-            pairs = pairs.select("a", "b").join(maybe_broadcast(tested, tested.count(), 24), ["a", "b"], "left_anti")
-            pairs = _labelled(pairs, labels).filter("la <> lb").select("a", "b")
-        pairs = scratch.keep(pairs, f"pairs-{step}")
-        n = pairs.count()
-        if n:
-            found = scratch.keep(_verified(pairs, reps, n), f"verified-{step}")
-            tested = found.select("a", "b") if tested is None else tested.union(found.select("a", "b"))
-            more = found.filter("good").select("a", "b")
-            good = more if good is None else good.union(more)
-            labels = components(good, scratch, f"labels-{step}")
-            if step == 1:
-                continue
-        if labels is None:
-            break
-        # Members in the class of their hub are done; the others go on without it.
-        left = _labelled(members.select("bucket", F.col("rep").alias("a"), F.col("hub").alias("b")), labels).filter("la <> lb").select("bucket", F.col("a").alias("rep"))
-        again = left.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        again = scratch.keep(again, f"hubs-{step}")
-        members = scratch.keep(left.join(maybe_broadcast(again, again.count(), 32), "bucket").select("bucket", "rep", "hub", "n"), f"members-{step}")
-        small = members.filter(F.col("n") <= GROUP).select("bucket", F.col("rep").alias("doc_id")).distinct()
-        if small.limit(1).count():
-            texts_in = reps.join(maybe_broadcast(small, small.count(), 24), "doc_id").select("bucket", "doc_id", "text")
-            more = scratch.keep(texts_in.groupBy("bucket").applyInArrow(_inside, "a long, b long").distinct(), f"inside-{step}")
-            good = more if good is None else good.union(more).distinct()
-            if more.limit(1).count():
-                labels = components(good, scratch, f"labels-{step}-inside")
-        members = members.filter(F.col("n") > GROUP).select("bucket", "rep", "hub")
-        if not members.limit(1).count():
-            break
+    # First, each text with the hub that it meets most often; most other pairs then need no look.
+    pairs = members.filter("rep <> hub").groupBy(F.col("rep").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = scratch.keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")), "pairs")
+    labels = None
+    if n := pairs.count():
+        good = scratch.keep(_verified(pairs, reps, n), "verified").filter("good").select("a", "b")
+        labels = components(good, scratch, "labels-hubs")
+        more = scratch.keep(_between(members, labels, shared, reps, scratch), "between")
+        if more.limit(1).count():
+            good = good.union(more).distinct()
+            labels = components(good, scratch, "labels")
     if labels is not None:
         links = good.select("a", "b").union(good.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
         found = labels.join(links, "node", "left").select(F.col("node").alias("rep"), "label", "n_links")
@@ -287,12 +304,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h1", "h2").join(texts, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
 
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """pairs with the classes la and lb of their ends; a text without links is its own class."""
-    n = labels.count()
-    for side, name in (("a", "la"), ("b", "lb")):
-        pairs = pairs.join(maybe_broadcast(labels.select(F.col("node").alias(side), F.col("label").alias(name)), n, 16), side, "left").withColumn(name, F.coalesce(name, side))
-    return pairs
+def _between(members: DataFrame, labels: DataFrame, shared: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """Verified pairs (a, b) between the classes that meet in a bucket; a text without links is its own class."""
+    known = maybe_broadcast(labels.select(F.col("node").alias("rep"), "label"), labels.count(), 16)
+    own = members.join(known, "rep", "left").select("rep", "x", "bucket", F.coalesce("label", "rep").alias("label"))
+    open_ = own.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    open_ = scratch.keep(open_, "open")
+    left = own.join(maybe_broadcast(open_, open_.count(), 16), "bucket").select("x", "rep", "label").distinct()
+    left = scratch.keep(left.join(reps.select(F.col("doc_id").alias("rep"), F.length("text").alias("chars")), "rep"), "left")
+    blocks = left.groupBy("x").agg(F.ceil(F.greatest(F.count(F.lit(1)) / max(GROUP, 1), F.sum("chars") / BLOCK_CHARS, F.lit(1))).cast("int").alias("blocks"))
+    blocks = scratch.keep(blocks, "blocks")
+    dealt = left.join(maybe_broadcast(blocks, blocks.count(), 12), "x").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("x", "rep", "label", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("second"))
+    texts = reps.join(shared, F.col("doc_id") == F.col("rep")).select("rep", "text", "s")
+    return dealt.join(texts, "rep").groupBy("x", "lo", "hi").applyInArrow(_inside, "a long, b long").distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -187,6 +187,34 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, group):
     assert [got[i] for i in range(len(docs))] == root
 
 
+@pytest.mark.parametrize(("group", "chars"), [(1024, 8 << 20), (7, 8 << 20), (1024, 9000)])
+def test_outliers_that_resemble_one_member_of_a_large_class(spark, monkeypatch, group, chars):
+    """40 edits of a base, and edits of these that are near one of them only; the edits of the base have the smallest ids."""
+    monkeypatch.setattr(near_dup, "GROUP", group)
+    monkeypatch.setattr(near_dup, "BLOCK_CHARS", chars)
+    r = random.Random(7)
+    base = r.choices(WORDS, k=200)
+
+    def edit(words, places):
+        own = list(words)
+        for p in places:
+            own[p] = f"x{r.randrange(10**6)}"
+        return own
+
+    variants = [edit(base, r.sample(range(5, 195, 10), 2)) for _ in range(40)]
+    outliers = [edit(r.choice(variants), r.sample(range(10, 190, 10), 4)) for _ in range(40)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(variants + outliers)]
+    root = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if near_dup.alike(docs[i][1], docs[j][1]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    assert root.count(0) > 60
+    got = {x.doc_id: x.class_id for x in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(docs))] == root
+
+
 def test_unmatched_is_the_edit_distance_without_substitution():
     r = np.random.default_rng(1)
     for _ in range(60):
