@@ -1,10 +1,12 @@
 """Quotation linking in conversations; DataFrame operations only.
 
 A line's quote level is the number of > signs that it begins with (blanks between them allowed). A passage is a maximal run
-of lines of one level. A passage of level 1 or more is normalised (lower case, runs of white space to one blank) and
-hashed; the same hash of a passage at level 0 of an earlier turn of the conversation is its original, the latest such turn
-if there are several. A message replies to the latest original that it quotes at its lowest level, or else to the turn
-before it. Bodies keep level 0 alone. Parents have smaller turns than their replies, so rising turns are reply order.
+of lines of one level; its units are the whole passage, its paragraphs (parted by blank lines) and its lines. Units are
+normalised (lower case, runs of white space to one blank) and hashed. A passage of level 1 or more whose hash is that of a
+unit at level 0 of an earlier turn of the conversation has its original there; otherwise its paragraphs count, and after
+them its lines, and the turn with most of them is the original. Among equals, an original passage goes before a paragraph
+and a line, then the latest turn counts. A message replies to an original that it quotes at its lowest level, passages
+before paragraphs and lines, the latest of these, or else to the turn before it. Bodies keep level 0 alone. Parents have smaller turns than their replies, so rising turns are reply order.
 
 A message is one row throughout: no conversation is gathered into one task, however many rows it has.
 
@@ -18,7 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Scratch, maybe_broadcast
+
 MARKS = r"^([ \t]*>)+"
+#: Where a passage is cut into paragraphs and into lines.
+CUTS = [r"\n\s*\n", r"\n"]
 
 
 def normal(text: Column | str) -> Column:
@@ -39,6 +45,17 @@ def passages(messages: DataFrame) -> DataFrame:
     return messages.withColumn("parts", F.aggregate(lines, F.array().cast(kind), add))
 
 
+def units(text: str) -> Column:
+    """Array of (kind, text): the passage, its paragraphs, its lines; those of one piece only once."""
+
+    def cut(kind: int, at: str) -> Column:
+        pieces = F.split(text, at)
+        return F.when(F.size(pieces) > 1, F.transform(pieces, lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("text")))).otherwise(F.array().cast("array<struct<kind:int,text:string>>"))
+
+    whole = F.array(F.struct(F.lit(0).alias("kind"), F.col(text).alias("text")))
+    return F.concat(whole, *[cut(k, at) for k, at in enumerate(CUTS, 1)])
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, reply_to, quote_depth, n_quotes, n_linked, markup for each row of messages (conv_id, turn, role, text)."""
     rows = messages.select("conv_id", "turn", "role", "text")
@@ -47,11 +64,16 @@ def linked(messages: DataFrame) -> DataFrame:
     rows = passages(rows).withColumn("parts", own).drop("text")
     mark = F.xxhash64("conv_id", "turn", "role", "parts")  # equal rows share a mark and have equal links
     rows = rows.withColumn("mark", mark)
-    parts = rows.select("conv_id", "turn", "mark", F.explode("parts").alias("part")).select("conv_id", "turn", "mark", "part.level", F.sha2(normal("part.text"), 256).alias("hash"), F.length(normal("part.text")).alias("n")).filter("n > 0").distinct()
-    quotes = parts.filter("level > 0").select("conv_id", F.col("turn").alias("at"), "mark", "level", "hash")
-    originals = parts.filter("level = 0").select("conv_id", "turn", "hash").distinct()
-    links = quotes.join(originals, ["conv_id", "hash"]).filter("turn < at").groupBy("mark", "level", "hash").agg(F.max("turn").alias("turn"))
-    by_row = links.groupBy("mark").agg(F.count(F.lit(1)).alias("n_linked"), F.max_by("turn", F.struct(-F.col("level"), F.col("turn"))).alias("quoted"))
+    parts = rows.select("conv_id", "turn", "mark", F.explode("parts").alias("part")).select("conv_id", "turn", "mark", "part.level", "part.text")
+    parts = parts.select("conv_id", "turn", "mark", "level", F.when(F.col("level") > 0, F.sha2(normal("text"), 256)).alias("passage"), F.explode(units("text")).alias("unit"))
+    parts = parts.withColumn("text", normal("unit.text")).filter("text <> ''").select("conv_id", "turn", "mark", "level", "passage", "unit.kind", F.sha2("text", 256).alias("hash"))
+    scratch = Scratch(messages.sparkSession, "quotes")
+    quotes = scratch.keep(parts.filter("level > 0 and conv_id is not null and turn is not null").select("conv_id", F.col("turn").alias("at"), "mark", "level", "passage", "kind", "hash").distinct(), "quotes")
+    originals = parts.filter("level = 0").select("conv_id", "turn", "hash", F.col("kind").alias("of"))
+    links = originals.join(maybe_broadcast(quotes, quotes.count(), 200), ["conv_id", "hash"]).filter("turn < at")
+    links = links.groupBy("mark", "level", "passage", "kind", "turn").agg(F.count_distinct("hash").alias("n"), F.min("of").alias("of"))
+    links = links.groupBy("mark", "level", "passage").agg(F.max_by(F.struct("kind", "turn"), F.struct(-F.col("kind"), "n", -F.col("of"), "turn")).alias("best")).select("mark", "level", "best.*")
+    by_row = links.groupBy("mark").agg(F.count(F.lit(1)).alias("n_linked"), F.max_by("turn", F.struct(-F.col("level"), -F.col("kind"), F.col("turn"))).alias("quoted"))
     turns = rows.select("conv_id", "turn").distinct()
     # The turn before: the largest smaller turn. Consecutive numbering is the common case; otherwise the previous distinct turn.
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("before"))

@@ -259,6 +259,13 @@ def test_quotes(spark):
     assert chat_quotes.linked(df.limit(0)).count() == 0
 
 
+def test_quotes_of_parts_of_a_message(spark):
+    texts = ["One line.\nAnother line.\n\nSecond  paragraph\nof two lines", "Fine.\nBye", "> another line.\nWhich?", "> One line.\n> Another line.\n\n> second paragraph\n> of two lines\nYes", "> Another line.\n> Bye\n> One line.\nHm", "> Fine.\n> > Second paragraph\nok", "> nowhere\nno"]
+    df = spark.createDataFrame([(1, i, "u", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.reply_to, r.n_quotes, r.n_linked) for r in chat_quotes.linked(df).collect()}
+    assert got == {0: (None, 0, 0), 1: (0, 0, 0), 2: (0, 1, 1), 3: (0, 2, 2), 4: (0, 1, 1), 5: (1, 2, 2), 6: (5, 1, 0)}
+
+
 def test_hashes_do_not_depend_on_the_place():
     x = flat.PrefixHash(np.arange(50, dtype=np.uint64))
     y = flat.PrefixHash(np.arange(10, 30, dtype=np.uint64))
