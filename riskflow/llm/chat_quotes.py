@@ -17,7 +17,7 @@ table gives no row; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, maybe_broadcast
@@ -56,6 +56,16 @@ def units(text: str) -> Column:
     return F.concat(whole, *[cut(k, at) for k, at in enumerate(CUTS, 1)])
 
 
+def turns_before(turns: DataFrame, scratch: Scratch) -> DataFrame:
+    """conv_id, turn and the largest smaller turn (`before`) of each distinct turn, by sorted range partitions: no window over a conversation."""
+    turns = turns.filter("conv_id is not null and turn is not null").distinct().repartitionByRange("conv_id", "turn")
+    turns = scratch.keep(turns.select("conv_id", "turn", F.spark_partition_id().alias("_p")), "turns")
+    ends = turns.groupBy("_p").agg(F.max(F.struct("conv_id", "turn")).alias("_end"))
+    ends = ends.select("_p", F.lag("_end").over(Window.orderBy("_p")).alias("_end"))
+    last = F.coalesce(F.lag(F.struct("conv_id", "turn")).over(Window.partitionBy("_p").orderBy("conv_id", "turn")), "_end")
+    return turns.join(F.broadcast(ends), "_p").withColumn("_last", last).select("conv_id", "turn", F.when(F.col("_last.conv_id") == F.col("conv_id"), F.col("_last.turn")).alias("before"))
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, reply_to, quote_depth, n_quotes, n_linked, markup for each row of messages (conv_id, turn, role, text)."""
     rows = messages.select("conv_id", "turn", "role", "text")
@@ -74,9 +84,7 @@ def linked(messages: DataFrame) -> DataFrame:
     links = links.groupBy("mark", "level", "passage", "kind", "turn").agg(F.count_distinct("hash").alias("n"), F.min("of").alias("of"))
     links = links.groupBy("mark", "level", "passage").agg(F.max_by(F.struct("kind", "turn"), F.struct(-F.col("kind"), "n", -F.col("of"), "turn")).alias("best")).select("mark", "level", "best.*")
     by_row = links.groupBy("mark").agg(F.count(F.lit(1)).alias("n_linked"), F.max_by("turn", F.struct(-F.col("level"), -F.col("kind"), F.col("turn"))).alias("quoted"))
-    turns = rows.select("conv_id", "turn").distinct()
-    # The turn before: the largest smaller turn. Consecutive numbering is the common case; otherwise the previous distinct turn.
-    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("before"))
+    before = turns_before(rows.select("conv_id", "turn"), scratch)
     out = rows.join(by_row, "mark", "left").join(before, ["conv_id", "turn"], "left")
     body = F.trim(F.array_join(F.transform(F.filter("parts", lambda p: p["level"] == 0), lambda p: p["text"]), "\n"))
     quoted = F.filter("parts", lambda p: p["level"] > 0)

@@ -266,6 +266,13 @@ def test_quotes_of_parts_of_a_message(spark):
     assert got == {0: (None, 0, 0), 1: (0, 0, 0), 2: (0, 1, 1), 3: (0, 2, 2), 4: (0, 1, 1), 5: (1, 2, 2), 6: (5, 1, 0)}
 
 
+def test_turn_before_a_gap(spark):
+    turns = [(c, t) for c in (1, 2, 3) for t in (2, 10, 20, 21, 500)]
+    df = spark.createDataFrame([(c, t, "u", "x") for c, t in turns], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.reply_to for r in chat_quotes.linked(df).collect()}
+    assert got == {(c, t): {2: None, 10: 2, 20: 10, 21: 20, 500: 21}[t] for c, t in turns}
+
+
 def test_hashes_do_not_depend_on_the_place():
     x = flat.PrefixHash(np.arange(50, dtype=np.uint64))
     y = flat.PrefixHash(np.arange(10, 30, dtype=np.uint64))
