@@ -46,10 +46,13 @@ def apply(target: DataFrame | None, changes: DataFrame) -> DataFrame:
 
 
 def full_history(changes: DataFrame) -> DataFrame:
-    """All versions of all customers: changes that keep the segment are dropped, deletes close and leave a gap."""
+    """All versions of all customers: changes that keep all tracked attributes are dropped, deletes close and leave a gap."""
     w = Window.partitionBy("customer_id").orderBy("change_ts")
-    seen = changes.withColumn("_seg", F.lag("risk_segment").over(w)).withColumn("_op", F.lag("op_type").over(w))
-    kept = seen.filter("_seg is null or _seg <> risk_segment or op_type = 'delete' or _op = 'delete'")
+    seen = changes.withColumn("_row", F.lag(F.struct(*TRACKED, "op_type")).over(w))
+    differs = F.col("_row").isNull()
+    for c in TRACKED:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"_row.{c}"))
+    kept = seen.filter(differs | (F.col("op_type") == "delete") | (F.col("_row.op_type") == "delete"))
     ends = kept.withColumn("effective_end", F.lead("change_ts").over(w)).filter("op_type <> 'delete'")
     return ends.select("customer_id", *TRACKED, F.col("change_ts").alias("effective_start"), "effective_end", F.col("effective_end").isNull().alias("is_current"))
 

@@ -37,6 +37,12 @@ def test_change_to_null_is_a_change(spark):
     assert len(history(spark, [change(1, "a", "insert", 0)], [change(1, None, "update", 5)])) == 2
 
 
+def test_full_history_has_changes_of_country_and_to_null(spark):
+    rows = [change(1, "a", "insert", 0), change(1, "a", "update", 1), change(1, "a", "update", 2, "2"), change(1, None, "update", 3, "2"), change(1, None, "update", 4, "2"), change(1, "a", "update", 5, None)]
+    got = sorted(scd2.full_history(spark.createDataFrame(rows, CHANGE)).collect(), key=lambda r: r.effective_start)
+    assert [(r.risk_segment, r.home_country, r.is_current) for r in got] == [("a", "1", False), ("a", "2", False), (None, "2", False), ("a", None, True)]
+
+
 def test_stale_update_after_delete_is_dropped(spark):
     got = history(spark, [change(1, "a", "insert", 0)], [change(1, "a", "delete", 10)], [change(1, "b", "update", 5)])
     assert [(r[1], r[3]) for r in got] == [("a", False)]
