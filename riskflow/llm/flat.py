@@ -19,9 +19,12 @@ def char_hash() -> np.ndarray:
     return mix(np.arange(0x110000, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(0x632BE59BD9B4E019))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def char_class(kind: str) -> np.ndarray:
-    """Whether each code point is a letter ("alpha") or a letter or number ("alnum")."""
+    """Whether each code point is a letter ("alpha"), a letter or number ("alnum"), or what patterns take for a letter
+    ("letter": letters and numbers but decimal digits)."""
+    if kind == "letter":
+        return char_class("alnum") & ~char_class("decimal")
     return np.fromiter((getattr(chr(c), f"is{kind}")() for c in range(0x110000)), bool, 0x110000)
 
 

@@ -4,8 +4,8 @@
 2. Obfuscated tokens - letters written as look-alike digits or signs, letters spaced or dotted out, letters repeated
    three times or more, letters masked by a star - become lattices of the letters that each sign may stand for;
    Viterbi decoding under the trigram model picks the likeliest word. Other tokens have a single path and stay.
-3. Each n-gram of a restored word (of 4 to 7 characters, the word's borders counted) has the smoothed share of toxic
-   documents among the labelled documents with it; a document's score is the largest share among its n-grams.
+3. Each restored word, and each n-gram of it (of 4 to 7 characters, the word's borders counted), has the smoothed share
+   of toxic documents among the labelled documents with it; a document's score is the largest of these shares.
 
 Labels are learned from a bounded sample of labelled rows, `SAMPLE` at most, picked by a hash of doc_id; documents
 with the same smallest hash of three words count once there, so that a group of copies doesn't make its own words look toxic.
@@ -35,6 +35,12 @@ from .shared import Scratch, mix, slices
 
 #: Most labelled rows that the classifier is fitted on.
 SAMPLE = 20_000
+#: Bytes of text that a worker holds as arrays at once; a longer text stays whole.
+SLICE = 1 << 20
+#: Tokens of up to so many characters are remembered with their decoding.
+REMEMBERED = 64
+#: A longer run of masks stands for no word.
+MOST_MASKS = 3
 #: Sizes of the tables of character trigrams, bigrams and single characters.
 TRIGRAMS, BIGRAMS, UNIGRAMS = 1 << 18, 1 << 14, 1 << 12
 #: Lengths of n-grams, borders counted.
@@ -43,6 +49,8 @@ SIZES = (4, 5, 6, 7)
 PRIOR_DOCS = 6.0
 #: Share of toxic documents, unsmoothed, from which an n-gram is evidence; pieces that toxic words share with others fall below.
 LEAST_SHARE = 0.96
+#: The same for whole words, which share no pieces; a few labels are wrong.
+LEAST_WORD_SHARE = 0.85
 LOWEST = 0.01
 
 #: The letters that a sign may stand for. A star stands for any letter.
@@ -58,8 +66,9 @@ _EDGE = r"0-9@$€"
 _SPACED = re.compile(rf"(?<![^\s])(?:[^\W_]|[{_SIGN}])(?:[ ._\-](?:[^\W_]|[{_SIGN}])){{2,}}(?![^\s.,;:?])")
 _MIXED = re.compile(rf"(?<![^\W\d_])(?=[^\W\d_]*[{_SIGN}])(?:[^\W\d_]|[{_EDGE}])(?:[^\W\d_]|[{_SIGN}])*(?:[^\W\d_]|[{_EDGE}])")
 _WORD = re.compile(r"[^\W\d_]+")
-_REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _DOTTED = re.compile(r"[ ._\-]")
+_MASKED = re.compile(rf"[{re.escape(MASKS)}]{{{MOST_MASKS + 1}}}")
 
 
 def _trigram(a, b, c):
@@ -81,7 +90,7 @@ def _letters(flat: FlatTexts) -> np.ndarray:
 
 def _count_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     three, two, one = np.zeros(TRIGRAMS, np.int64), np.zeros(BIGRAMS, np.int64), np.zeros(UNIGRAMS, np.int64)
-    for batch in slices(batches):
+    for batch in slices(batches, most=SLICE):
         c = np.concatenate([np.zeros(2, np.uint32), _letters(FlatTexts(batch.column("text").to_pylist()))])
         before, last, own = c[:-2], c[1:-1], c[2:]
         keep = (last | own) > 0
@@ -128,23 +137,36 @@ class Restorer:
     """Restores the obfuscated tokens of lower-case texts."""
 
     def __init__(self, model: CharModel):
-        self.model, self.decode = model, lru_cache(1 << 15)(self._decode)
+        self.model, self.remembered = model, lru_cache(1 << 14)(self._decode)
+
+    def decode(self, token: str) -> str:
+        return self.remembered(token) if len(token) <= REMEMBERED else self._decode(token)
 
     def _decode(self, token: str) -> str:
-        """The likeliest path through the token's lattice; exact, as the state is the last two characters."""
-        best = {("", ""): (0.0, "")}
+        """The likeliest path through the token's lattice; exact, as the state is the last two characters. Each step keeps a
+        back pointer for each state, so time and memory follow the token's length."""
+        if _MASKED.search(token):
+            return token
+        best, steps = {("", ""): 0.0}, []
         log = self.model.cached
         for choices in lattice(token):
             nxt: dict = {}
-            for (a, b), (score, text) in best.items():
+            came: dict = {}
+            for state, score in best.items():
                 for s in choices:
-                    p, x, y = score, a, b
+                    p, (x, y) = score, state
                     for c in s:
                         p, x, y = p + log(x, y, c), y, c
-                    if (x, y) not in nxt or p > nxt[x, y][0]:
-                        nxt[x, y] = (p, text + s)
+                    if (x, y) not in nxt or p > nxt[x, y]:
+                        nxt[x, y], came[x, y] = p, (state, s)
             best = nxt
-        p, text = max((p + log(x, y, ""), text) for (x, y), (p, text) in best.items())
+            steps.append(came)
+        p, state = max((p + log(*state, ""), state) for state, p in best.items())
+        out = []
+        for came in reversed(steps):
+            state, s = came[state]
+            out.append(s)
+        text = "".join(reversed(out))
         return text if p >= LEAST_LOG * (len(text) + 1) else token
 
     def _joined(self, match: re.Match) -> str:
@@ -155,7 +177,7 @@ class Restorer:
     def __call__(self, text: str) -> str:
         text = _SPACED.sub(self._joined, text)
         text = _MIXED.sub(lambda m: m[0] if _WORD.fullmatch(m[0]) or m[0].isdigit() else self.decode(m[0]), text)
-        return _REPEATED.sub(lambda m: self.decode(m[0]), text)
+        return _WORD.sub(lambda m: self.decode(m[0]) if _TRIPLE.search(m[0]) else m[0], text) if _TRIPLE.search(text) else text
 
 
 @lru_cache(maxsize=1)
@@ -168,17 +190,18 @@ def _signs() -> np.ndarray:
 def suspicious(flat: FlatTexts) -> np.ndarray:
     """Whether each text has a place where a token may be obfuscated: a superset of what the restorer's patterns match."""
     c = flat.codes
-    letter, sign = char_class("alpha")[c], _signs()[c]
-    edge, own = sign & ~np.isin(c, [ord(x) for x in "!|+*#"]), letter | sign
+    letter, sign = char_class("letter")[c], _signs()[c]
+    digit, own = (c >= ord("0")) & (c <= ord("9")), letter | sign
+    edge = sign & ~np.isin(c, [ord(x) for x in "!|+*#"])
     at = np.zeros(len(c), bool)
-    at[1:] |= (letter[1:] & edge[:-1]) | (letter[:-1] & edge[1:])
-    at[2:] |= (letter[:-2] & sign[1:-1] & own[2:]) | (letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2]))
-    if len(c) > 4:  # three single characters with gaps, none of them part of a word
+    # A token with signs holds neighbours that are neither both letters nor both digits; signs that can't end it lie inside.
+    ends = letter | edge
+    at[1:] |= ends[1:] & ends[:-1] & ~(letter[1:] & letter[:-1]) & ~(digit[1:] & digit[:-1])
+    at[2:] |= own[:-2] & (sign & ~edge)[1:-1] & own[2:]
+    at[2:] |= letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2])
+    if len(c) > 4:  # three single characters with gaps
         gap = np.isin(c, [ord(x) for x in " ._-"])
-        lone = own.copy()
-        lone[1:] &= ~letter[:-1]
-        lone[:-1] &= ~letter[1:]
-        at[4:] |= lone[4:] & gap[3:-1] & lone[2:-2] & gap[1:-3] & lone[:-4]
+        at[4:] |= own[4:] & gap[3:-1] & own[2:-2] & gap[1:-3] & own[:-4]
     return np.add.reduceat(at, flat.start) > 0 if len(flat.start) else at[:0]
 
 
@@ -193,8 +216,9 @@ def restored(texts: list[str | None], restore: Restorer) -> FlatTexts:
     return FlatTexts(texts)
 
 
-def ngrams(flat: FlatTexts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each size: the hashes of the n-grams inside a word with its borders, and where they start. A border is a 0."""
+def features(flat: FlatTexts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size, one after the other: the hashes of the n-grams inside a word with its borders, and where they start; at
+    last those of whole words with both borders. A border is a 0."""
     c = np.concatenate([np.zeros(1, np.uint32), _letters(flat)])
     hashes, gaps = PrefixHash(char_hash()[c]), np.concatenate([np.zeros(1, np.int32), np.cumsum(c == 0, dtype=np.int32)])
     for n in SIZES:
@@ -202,6 +226,9 @@ def ngrams(flat: FlatTexts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             inner = gaps[n - 1 : len(c)] - gaps[1 : len(c) - n + 2]
             at = np.flatnonzero(inner == 0)
             yield hashes.windows(n)[at], np.maximum(at - 1, 0)
+    start, end = flat.words("alpha")
+    long = end - start + 2 > max(SIZES)
+    yield hashes.ranges(start[long], end[long] + 2), start[long]
 
 
 @dataclass
@@ -228,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so it may be broadcast
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             flat = FlatTexts(batch.column("text").to_pylist())
             start, end = flat.words("alpha")
             least = np.full(batch.num_rows, np.iinfo(np.int64).max)
@@ -243,30 +270,26 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(CharModel(chars.value))
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             flat, toxic = restored(batch.column("text").to_pylist(), restore), batch.column("toxic").to_numpy() > 0
-            keys, doc = [], []
-            for h, at in ngrams(flat):
-                keys.append(h)
-                doc.append(flat.doc_of(at))
-            if not keys:
-                continue
-            keys, doc = np.concatenate(keys), np.concatenate(doc)
-            order = np.lexsort((doc, keys))
-            keys, doc = keys[order], doc[order]
-            once = np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])])
-            keys, bad = keys[once], toxic[doc[once]]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            if len(first):
-                hits, total = np.add.reduceat(bad.astype(np.int64), first), np.diff(np.append(first, len(keys)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(hits), pa.array(total)], names=["key", "hits", "total"])
+            for size, (keys, at) in enumerate(features(flat)):
+                doc = flat.doc_of(at)
+                order = np.lexsort((doc, keys))
+                keys, doc = keys[order], doc[order]
+                once = np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])])[: len(keys)]
+                keys, bad = keys[once], toxic[doc[once]]
+                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+                if len(first):
+                    hits, total = np.add.reduceat(bad.astype(np.int64), first), np.diff(np.append(first, len(keys)))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(hits), pa.array(total), pa.array(np.full(len(first), size == len(SIZES)))], names=["key", "hits", "total", "word"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").mapInArrow(sign, "doc_id long, text string, toxic int, least long")
     rows = rows.groupBy("least", "toxic").agg(F.min_by("text", "doc_id").alias("text")).select("text", "toxic")
     rows = Scratch(docs.sparkSession, "toxicity").keep(rows, "sample")
     share = rows.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    total = rows.mapInArrow(count, "key long, hits long, total long").groupBy("key").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total"))
-    found = total.filter((F.col("hits") >= 3) & (F.col("hits") >= LEAST_SHARE * F.col("total"))).select("key", ((F.col("hits") + PRIOR_DOCS * share) / (F.col("total") + PRIOR_DOCS)).alias("share")).orderBy("key").toPandas()
+    total = rows.mapInArrow(count, "key long, hits long, total long, word boolean").groupBy("key", "word").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total"))
+    least = F.when(F.col("word"), LEAST_WORD_SHARE).otherwise(LEAST_SHARE)
+    found = total.filter((F.col("hits") >= 3) & (F.col("hits") >= least * F.col("total"))).select("key", ((F.col("hits") + PRIOR_DOCS * share) / (F.col("total") + PRIOR_DOCS)).alias("share")).orderBy("key").toPandas()
     keys = found["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return Model(counts, keys[order], found["share"].to_numpy(float)[order])
@@ -284,10 +307,10 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         restore = Restorer(CharModel(own.counts))
         bits = np.zeros(1 << 20, bool)
         bits[(own.keys >> np.uint64(44)).astype(np.int64)] = True
-        for batch in slices(batches, "_rf_text"):
+        for batch in slices(batches, "_rf_text", SLICE):
             flat = restored(batch.column("_rf_text").to_pylist(), restore)
             best = np.full(batch.num_rows, LOWEST)
-            for h, at in ngrams(flat) if len(own.keys) else ():
+            for h, at in features(flat) if len(own.keys) else ():
                 may = np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)])
                 h, at = h[may], at[may]
                 k = np.minimum(np.searchsorted(own.keys, h), len(own.keys) - 1)
