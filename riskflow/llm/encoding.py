@@ -5,6 +5,7 @@ between pre-tokens, both for byte-level files, which keep the space with the nex
 white space; so the ids of a text are the ids of its chunks in order, and each distinct chunk is encoded once.
 Chunks are cut again beside marks and line feeds, so that a word is encoded once whatever follows it.
 Texts that have a space after another white-space character are cut by a slower rule with the same property.
+Texts that hold the string of a special token go to the library whole, which gives them that token's id.
 """
 
 from __future__ import annotations
@@ -50,29 +51,15 @@ class _Codes(dict):
         return code
 
 
-class _Pieces(dict):
-    """piece -> code; new pieces wait to be encoded."""
-
-    def __init__(self, owner):
-        super().__init__()
-        self.owner = owner
-
-    def __missing__(self, piece):
-        code = self[piece] = self.owner.new_code()
-        self.owner.pending.append(piece)
-        self.owner.pending_codes.append(code)
-        return code
-
-
 class ChunkEncoder:
     """Encodes batches of texts; memory is bounded by about `limit` distinct chunks, after which the cache starts anew."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         kind = json.loads(self.tokenizer.to_str())
         steps = [x["type"] for x in (kind["normalizer"] or {}).get("normalizers", [])]
@@ -82,23 +69,38 @@ class ChunkEncoder:
         self.direct = "ByteLevel" in json.dumps(kind["pre_tokenizer"]) and (self.lower or kind["normalizer"] is None)
         self._reset()
 
+    def release(self) -> None:
+        """Gives the memory of a well-filled cache back, as at the end of a task, after which the worker may sit idle."""
+        if self.count > self.limit // 4:
+            self._reset()
+
     def _reset(self):
-        self.spaced, self.plain, self.pieces = _Codes(self, " "), _Codes(self, ""), _Pieces(self)
+        self.spaced, self.plain = _Codes(self, " "), _Codes(self, "")
         self.pending, self.pending_codes, self.joined, self.joined_codes, self.count, self.used = [], [], [], [], 1, 0
+        self.whole, self.whole_codes = [], []
         self.start, self.length, self.pool = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
 
     def new_code(self) -> int:
         self.count += 1
         return self.count - 1
 
+    def text(self, text: str) -> int:
+        """The code of a whole text, which isn't remembered."""
+        self.whole.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.whole_codes.append(self.new_code())
+        return self.whole_codes[-1]
+
     def chunk(self, text: str) -> int:
+        """The code of a chunk; its ids come from its parts if it has several, else from the vocabulary, before the next use."""
         parts = _INNER.split(text)
         if len(parts) == 1:
-            return self.pieces[text]
-        code = self.new_code()
-        self.joined.append(" ".join([str(self.pieces[x]) for x in parts if x]))
-        self.joined_codes.append(code)
-        return code
+            code = self.new_code()
+            self.pending.append(text)
+            self.pending_codes.append(code)
+            return code
+        self.joined.append(" ".join([str(self.spaced[x[1:]] if x[0] == " " and not x[-1].isspace() else self.plain[x]) for x in parts if x]))
+        self.joined_codes.append(self.new_code())
+        return self.joined_codes[-1]
 
     def _ids(self, piece: str) -> list[int]:
         """A piece of letters, with a space before it or not, is one pre-token and goes to the model at once."""
@@ -106,7 +108,7 @@ class ChunkEncoder:
         if self.direct and word.isalpha():
             if not self.lower:
                 return [x.id for x in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-            if (word := unicodedata.normalize("NFC", word).lower()).isalpha():
+            if (word := unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()).isalpha():  # no final form
                 return [x.id for x in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
@@ -121,6 +123,9 @@ class ChunkEncoder:
         self.used += len(ids)
 
     def _encode_pending(self):
+        if self.whole:
+            self._store(self.whole_codes, np.array([len(x) for x in self.whole]), np.fromiter(chain.from_iterable(self.whole), np.uint32))
+            self.whole, self.whole_codes = [], []
         if self.pending:
             encoded = [self._ids(x) for x in self.pending]
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
@@ -139,6 +144,10 @@ class ChunkEncoder:
         plain, spaced = self.plain, self.spaced.__getitem__
         own, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
+            if text and any(x in text for x in self.special):
+                own.append(self.text(text))
+                counts[i] = 1
+                continue
             parts = (text or "").split(" ")
             counts[i] = len(parts)
             own.append(plain[parts[0]] if len(parts) == 1 or not parts[0][-1:].isspace() else _IRREGULAR)

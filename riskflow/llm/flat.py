@@ -29,16 +29,18 @@ def char_class(kind: str) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of a base modulo 2**64, as far as they were needed so far."""
+    """Powers of a base modulo 2**64. The first 2**21 are kept; those of a longer sequence are made anew."""
 
     def __init__(self, base: int):
         self.base, self.values = base, np.ones(1, np.uint64)
 
     def upto(self, n: int) -> np.ndarray:
-        while len(self.values) < n:
-            step = np.uint64(pow(self.base, len(self.values), 1 << 64))
-            self.values = np.concatenate([self.values, self.values * step])
-        return self.values[:n]
+        values = self.values
+        while len(values) < n:
+            values = np.concatenate([values, values * np.uint64(pow(self.base, len(values), 1 << 64))])
+            if len(values) <= 1 << 21:
+                self.values = values
+        return values[:n]
 
 
 _up, _down = _Powers(_BASE), _Powers(_INVERSE)

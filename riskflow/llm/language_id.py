@@ -31,6 +31,8 @@ from .shared import slices
 FLOOR = 1e-9
 #: Words up to so many characters are scored side by side, longer ones one by one.
 SIDE_BY_SIDE = 24
+#: Bytes of text whose distinct words are scored together.
+SLICE = 4 << 20
 COUNTS = "lang string, piece int, n double"
 _MARK = ord("▁")
 
@@ -44,7 +46,7 @@ class Pieces:
         model = SentencePieceProcessor(model_file=path)
         own = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         # Only pieces of lower-case letters, with the mark before them or not, can occur in a word.
-        own = [p for p in own if p == p.lower() and (body := p.removeprefix("▁")).isalpha() or p == "▁" or not body and False]
+        own = [p for p in own if p == p.lower() and (body := p.removeprefix("▁")).isalpha() or p == "▁"]
         self.size, by = len(own), {}
         for k, p in enumerate(own):
             by.setdefault(len(p), []).append((int(PrefixHash(char_hash()[[ord(c) for c in p]]).windows(len(p))[0]), k))
@@ -180,7 +182,7 @@ def _counter(path: str, langs: list[str] | None, prob: np.ndarray | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, total = pieces_of(path), {}
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             flat, own = FlatTexts(batch.column("text").to_pylist()), batch.column("lang").to_pylist()
             start, end = flat.words("alpha")
             if not len(start):
@@ -254,7 +256,7 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, path: str, keep
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, prob, known = pieces_of(path), model.value, _Known(len(langs))
         names = np.array([*langs, "und"], object)
-        for batch in slices(batches, "_rf_text"):
+        for batch in slices(batches, "_rf_text", SLICE):
             n = batch.num_rows
             flat = FlatTexts(batch.column("_rf_text").to_pylist())
             start, end = flat.words("alpha")

@@ -143,6 +143,7 @@ def pack(docs: DataFrame, path: str, end: int, size: int = 2048, open_windows: i
             if rows:
                 yield out()
         emit(windows.close(), True)
+        encoder(path).release()
         if rows:
             yield out()
 

@@ -1,9 +1,11 @@
 """Secret scans over a ledger of blobs.
 
-Every version of every text is addressed by the SHA-256 of its content. The ledger is a Parquet table for each rule
-version; it has one row for each blob that those rules have seen, with the findings. A scan shuffles each distinct blob
-once, drops what the ledger has, applies the rules to the rest, appends them, and joins findings back to all rows. When
-rules change, their version changes and only then are old blobs read again.
+Every version of every text is addressed by the SHA-256 of its content, its blob. The ledger is a Parquet table with one row
+for each pair of blob and rule version that was scanned, with the findings. A scan shuffles each distinct blob once, applies
+to it the rules whose version the ledger hasn't seen with it, appends these pairs, and joins the findings back to all rows:
+all paths and all versions of them. When one rule changes, old blobs are read for that rule alone.
+
+Appending may be repeated (a retried scan, two scans at once): pairs that are there twice count once when they are read.
 
 Spans are in code points, end exclusive, found leftmost and without overlap for each rule.
 
@@ -44,11 +46,12 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20, hint=("akia",)),
     Rule("hex", r"[0-9a-f]+", 24),
 )
-FINDINGS = "blob binary, spans array<struct<kind:string,start:long,end:long>>"
+LEDGER = "blob binary, rule string, spans array<struct<start:long,end:long>>"
+SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
-def rule_version(rules: tuple[Rule, ...]) -> str:
-    return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
+def rule_version(rule: Rule) -> str:
+    return hashlib.sha256(repr(rule).encode()).hexdigest()[:16]
 
 
 def compiled(rules: tuple[Rule, ...]) -> list[tuple[Rule, re.Pattern]]:
@@ -62,22 +65,24 @@ def compiled(rules: tuple[Rule, ...]) -> list[tuple[Rule, re.Pattern]]:
     return out
 
 
-def find(text: str, rules: list[tuple[Rule, re.Pattern]]) -> list[tuple[str, int, int]]:
-    """All spans of a text, by start, then in the order of the rules."""
-    low, found = text.lower(), []
-    for order, (rule, pattern) in enumerate(rules):
-        if not rule.hint or any(h in low for h in rule.hint):
-            found += [(m.start(), order, m.end()) for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
-    return [(rules[o][0].kind, a, b) for a, o, b in sorted(found)]
+def find(text: str, low: str, rule: Rule, pattern: re.Pattern) -> list[tuple[int, int]]:
+    """The spans of one rule in a text; `low` is the text in lower case."""
+    if rule.hint and not any(h in low for h in rule.hint):
+        return []
+    return [m.span() for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
 def _scan(rules: tuple[Rule, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = compiled(rules)
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+        own = {rule_version(rule): (rule, pattern) for rule, pattern in compiled(rules)}
+        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in slices(batches):
-            spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in find(t or "", own)] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(spans, kind)], names=["blob", "spans"])
+            out = []
+            for blob, text, todo in zip(*(batch.column(c).to_pylist() for c in ("blob", "text", "todo")), strict=True):
+                low = text.lower()
+                out += [(blob, version, [{"start": a, "end": b} for a, b in find(text, low, *own[version])]) for version in todo]
+            blobs, versions, found = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(versions), pa.array(found, spans)], names=["blob", "rule", "spans"])
 
     return run
 
@@ -87,26 +92,36 @@ def blob_of(text: str) -> Column:
 
 
 def update_ledger(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scans the blobs of `versions` that the ledger hasn't seen under these rules; returns the ledger's rows for them."""
-    spark, path = versions.sparkSession, f"{ledger}/{rule_version(rules)}"
+    """Scans the pairs of blob of `versions` and rule that the ledger doesn't have; returns the ledger's rows of these rules."""
+    spark, names = versions.sparkSession, [rule_version(r) for r in rules]
     blobs = versions.select(blob_of(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    todo = F.array(*[F.lit(n) for n in names])
     jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    at = jvm.org.apache.hadoop.fs.Path(ledger)
     if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        blobs = blobs.join(spark.read.schema(FINDINGS).parquet(path).select("blob"), "blob", "left_anti")
-    blobs.mapInArrow(_scan(rules), FINDINGS).write.mode("append").parquet(path)
-    return spark.read.schema(FINDINGS).parquet(path)
+        seen = spark.read.schema(LEDGER).parquet(ledger).filter(F.col("rule").isin(names)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        todo = F.array_except(todo, F.coalesce("seen", F.array().cast("array<string>")))
+        blobs = blobs.join(seen, "blob", "left")
+    blobs.select("blob", "text", todo.alias("todo")).filter(F.size("todo") > 0).mapInArrow(_scan(rules), LEDGER).write.mode("append").parquet(ledger)
+    return spark.read.schema(LEDGER).parquet(ledger).filter(F.col("rule").isin(names))
 
 
 def scan_versions(versions: DataFrame, ledger: str | None = None, text: str = "text", rules: tuple[Rule, ...] = RULES, names: tuple[str, str] = ("blob", "spans")) -> DataFrame:
-    """`versions` with a column for the blob and one for its spans, other columns kept; the ledger outlives the call where its folder is given."""
+    """`versions` with a column for the blob and one for its spans (by start, then in the order of the rules), other columns kept;
+    the ledger outlives the call where its folder is given."""
     ledger = ledger or Scratch(versions.sparkSession, "ledger").path
-    found = update_ledger(versions, ledger, text, rules).filter(F.size("spans") > 0)
-    side = maybe_broadcast(found.select(F.col("blob").alias("_rf_found"), F.col("spans").alias("_rf_list")), found.count(), 400)
+    found = update_ledger(versions, ledger, text, rules).filter(F.size("spans") > 0).dropDuplicates(["blob", "rule"])
+    order = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (rule_version(r), k)])
+    kind = F.create_map(*[F.lit(x) for r in rules for x in (rule_version(r), r.kind)])
+    each = found.withColumns({"order": order[F.col("rule")], "kind": kind[F.col("rule")]})
+    each = each.select("blob", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("order").alias("order"), s["end"].alias("end"), F.col("kind").alias("kind"))).alias("spans"))
+    sorted_ = F.transform(F.array_sort(F.flatten(F.collect_list("spans"))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    lists = each.groupBy(F.col("blob").alias("_rf_found")).agg(sorted_.alias("_rf_list"))
+    size = each.agg(F.coalesce(F.sum(120 + 40 * F.size("spans")), F.lit(0))).first()[0]
     kept = [F.col(f"`{c}`") for c in versions.columns if c not in names]
     rows = versions.select(*kept, blob_of(text).alias("_rf_own"))
-    none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    return rows.join(side, F.col("_rf_own") == F.col("_rf_found"), "left").select(*kept, F.col("_rf_own").alias(names[0]), F.coalesce("_rf_list", none).alias(names[1]))
+    joined = rows.join(maybe_broadcast(lists, size, 1), F.col("_rf_own") == F.col("_rf_found"), "left")
+    return joined.select(*kept, F.col("_rf_own").alias(names[0]), F.coalesce("_rf_list", F.array().cast(SPANS)).alias(names[1]))
 
 
 def digest(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker turns into words at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: A side of at most so many bytes, by its counted rows, may be broadcast.
 BROADCAST_BYTES = 64 << 20
 

@@ -72,11 +72,10 @@ def test_encoder_equals_the_library():
     from tokenizers import Tokenizer
 
     r = random.Random(2)
-    texts = ["", None, " ", "a  b", "x\n  y", "it's 12 3", "foo<|endoftext|> bar"] + ["".join(r.choice("a b\n\t '1.é\x85") for _ in range(r.randint(0, 30))) for _ in range(500)]
+    texts = ["", None, " ", "a  b", "x\n  y", "it's 12 3", "foo<|endoftext|> bar", "<|endoftext|>", "a <|startoftext|><|ENDOFTEXT|> b", "ΟΔΟΣ ΟΔΟΣ."] + ["".join(r.choice("a b\n\t '1.é\x85") for _ in range(r.randint(0, 30))) for _ in range(500)]
     for kind in ("bytes", "words"):
         path = queries.vocabulary(kind)
         plain = Tokenizer.from_file(path)
-        plain.encode_special_tokens = True
         ids, counts = encoding.ChunkEncoder(path).encode(texts, 7)
         want = [plain.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
         assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == list(map(len, want))
@@ -94,13 +93,37 @@ def test_planes_round_trip(mode):
     assert (reader.ids(0, 5000) == ids).all() and (reader.ids(700, 1300) == ids[700:1300]).all() and reader.null.tolist() == [False, True, False]
 
 
-def test_ledger_scans_a_blob_once(spark, tmp_path):
-    ledger, df = f"file://{tmp_path}/ledger", spark.createDataFrame([(1, "token: abcdef99"), (2, "token: abcdef99")], "doc_id long, text string")
+def test_ledger_scans_a_pair_of_blob_and_rule_once(spark, tmp_path, monkeypatch):
+    ledger, df = f"file://{tmp_path}/ledger", spark.createDataFrame([("a", 1, "token: abcdef99"), ("b", 1, "token: abcdef99")], "path string, version int, text string")
     assert {r.spans[0].kind for r in secret_scan.scan_versions(df, ledger).collect()} == {"assign"}
-    more = df.union(spark.createDataFrame([(3, "AKIA" + "A" * 16)], "doc_id long, text string"))
+    more = df.union(spark.createDataFrame([("a", 2, "AKIA" + "A" * 16)], "path string, version int, text string"))
     assert secret_scan.scan_versions(more, ledger).count() == 3
-    path = f"{ledger}/{secret_scan.rule_version(secret_scan.RULES)}"
-    assert spark.read.parquet(path).count() == 2
+    rows = spark.read.parquet(ledger)
+    assert rows.count() == 2 * 3 == rows.select("blob", "rule").distinct().count()
+    # One rule changes: old blobs are read for it alone.
+    rules = (*secret_scan.RULES[:2], secret_scan.Rule("hex", r"[0-9a-f]+", 5))
+    got = {(r.path, r.version): [s.kind for s in r.spans] for r in secret_scan.scan_versions(more, ledger, rules=rules).collect()}
+    assert got == {("a", 1): ["assign", "hex"], ("b", 1): ["assign", "hex"], ("a", 2): ["access"]} and spark.read.parquet(ledger).count() == 8
+    # An append that was repeated changes nothing.
+    spark.read.parquet(ledger).write.mode("append").parquet(f"{tmp_path}/again")
+    spark.read.parquet(f"{tmp_path}/again").write.mode("append").parquet(ledger)
+    assert secret_scan.scan_versions(more, ledger).count() == 3
+
+
+def test_secret_query_against_brute_force(spark):
+    """The three base patterns as the contract words them, on whole texts."""
+    import re
+
+    patterns = [("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII, 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 0, 20), ("hex", r"[0-9a-f]+", 0, 0, 24)]
+    text = {r.doc_id: r.text or "" for r in queries.table(spark, SMALL, "documents").collect()}
+    found = 0
+    for r in queries.op1_secret_scan(spark, SMALL).collect():
+        spans = [(m.start(), k, kind, m.end()) for k, (kind, p, flags, group, least) in enumerate(patterns) for m in re.finditer(p, text[r.doc_id], flags) if len(m[group]) >= least]
+        listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(spans))
+        assert (r.base_sha256, r.spans) == (hashlib.sha256(listed.encode()).hexdigest(), listed)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in spans) for k in range(3)]
+        found += len(spans)
+    assert found > 5
 
 
 def test_language_forward_sums_all_segmentations():
@@ -145,7 +168,7 @@ def test_decoder_restores_words():
     assert [restore(t) for t in ("1d10t", "i d i o t", "st*pid", "stuuuupid", "20 3.5", "i.d.i.o.t")] == ["idiot", "idiot", "stupid", "stupid", "20 3.5", "idiot"]
 
 
-@pytest.mark.parametrize("group", [20_000, 1])
+@pytest.mark.parametrize("group", [4096, 1])
 def test_suffixes_against_brute_force(spark, group):
     r = random.Random(3)
     base = ["".join(r.choice("ab") for _ in range(r.randint(0, 120))) for _ in range(12)]
@@ -232,6 +255,38 @@ def test_leaks_with_an_edit(spark, bench):
     assert [(r.doc_id, round(r.similarity, 3)) for r in decontaminate.contaminated(docs, bench).collect()] == [(1, round(34 / 38, 3))]
 
 
+def test_leaks_against_brute_force(spark):
+    """Every window of every text, also of rows that repeat a doc_id, against every item; halves swapped, words changed, cut or doubled."""
+    r, words = random.Random(3), [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(r.choices(words, k=r.randint(8, 45)))) for i in range(6)] + [(7, "too short"), (0, "w1 w2 w3 w4 w5 w6 w7 w8 w9")]
+    docs = [(None, items[0][1]), (99, None), (98, "")]
+    for k in range(60):
+        own = r.choice(items)[1].split()
+        half = len(own) // 2
+        own = [own, own[half:] + own[:half], ["zz" if i == half else w for i, w in enumerate(own)], own[:-2], own + own, own[:half]][k % 6]
+        docs.append((k // 2 if k % 10 == 0 else k, " ".join(r.choices(words, k=r.randint(0, 30)) + own + r.choices(words, k=r.randint(0, 30))) if k % 7 else " ".join(own)))
+
+    def shingles(words):
+        return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+    want: dict = {}
+    for doc, text in docs:
+        words = (text or "").split()
+        for item, passage in items if doc is not None else ():
+            b = shingles(passage.split())
+            for start in range(max(1, len(words) - len(passage.split()) + 1)):
+                a = shingles(words[start : start + len(passage.split())])
+                both = sum((a & b).values())
+                if both and both / (sum(a.values()) + sum(b.values()) - both) >= 0.8:
+                    want[doc, item] = max(want.get((doc, item), (0, 0)), (both / (sum(a.values()) + sum(b.values()) - both), -start))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.similarity, -x.start) for x in decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) > 15
+    clean = decontaminate.decontaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+    left = collections.Counter((x.doc_id, x.text) for x in clean.collect())
+    assert {d for d, _ in want}.isdisjoint({d for d, _ in left} - {d for d, n in collections.Counter(d for d, _ in docs).items() if n > 1}) and left[None, items[0][1]] == 0
+
+
 def test_nearest_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 300)
     r = np.random.default_rng(4)
