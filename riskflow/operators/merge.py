@@ -1,4 +1,5 @@
-"""Merges as plans: (target, source) -> new target. A source that hits a target row twice is an error, as in a MERGE."""
+"""Merges as plans: (target, source) -> new target. A source with several rows for one key is an
+error when the plan runs, unless the caller says that it has one row for each key."""
 
 from __future__ import annotations
 
@@ -14,26 +15,33 @@ def one_per_key(source: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def checked(source: DataFrame, keys: list[str]) -> DataFrame:
-    twice = source.groupBy(*keys).count().filter("count > 1").limit(1).count()
-    if twice:
-        raise ValueError(f"several source rows for one key {keys}")
-    return source
-
-
-def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """source; the job fails if a key has several rows. Part of the plan, and grouped by the keys that a merge joins by."""
+    rest = [c for c in source.columns if c not in keys]
+    message = F.lit(f"several source rows for one key {keys}")
+    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_one"))
+    one = source.groupBy(*keys).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    sure = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.lit(True))
+    return one.filter(sure).select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in source.columns])
+
+
+def insert_only(target: DataFrame, source: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
+    """target and the source rows whose key it doesn't have. `unique` says that the source has one row for each key already."""
+    source = source if unique else checked(source, keys)
     return target.unionByName(source.join(target.select(*keys), keys, "left_anti"))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = ()) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = (), unique: bool = False) -> DataFrame:
     """Source rows, and target rows without one. Columns in `keep` stay as the target has them, NULL for new rows."""
+    source = source if unique else checked(source, keys)
     if keep:
         old = target.select(*keys, *keep)
         source = source.drop(*keep).join(old, keys, "left").select(*target.columns)
     return source.unionByName(target.join(source.select(*keys), keys, "left_anti"))
 
 
-def update_only(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def update_only(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], unique: bool = False) -> DataFrame:
     """Matched rows take the source's columns, NULL included."""
+    source = source if unique else checked(source.select(*keys, *columns), keys)
     side = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(side, keys, "left")
     return joined.select(*[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])

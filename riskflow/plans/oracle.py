@@ -62,7 +62,7 @@ CTES = {
     "A": "select T.transaction_id, max(T.is_fraud::int) actual_fraud from T where T.id % 2 = 0 group by 1",
     "K": "select transaction_id, is_fraud, cast((row_number() over (partition by is_fraud, md5(transaction_id)[1:2] order by md5(transaction_id)) - 1) % 5 as int) fold from T",
     "O": "select R.*, J.risk_segment from R join J using (transaction_id) qualify row_number() over (partition by R.customer_id order by R.txn_ts desc, R.transaction_id desc)=1",
-    "Z": "select is_fraud::int y, round(least(abs(amount_zscore_30d)/3.0, 1.0),4) p, txn_ts, velocity_score, amount::double amount from R",
+    "Z": "select is_fraud::int y, round(coalesce(abs(amount_zscore_30d), 0.0), 9) p, txn_ts, velocity_score, amount::double amount from R",
     "SN": """select c_custkey customer_id, c_mktsegment risk_segment, cast(c_nationkey as varchar) home_country from customer""",
 }
 ORDER = list(CTES)
@@ -85,7 +85,7 @@ def _psi(column: str) -> str:
         "Z",
         f""", vv as (select {column}::double v, txn_ts < {MID} r from Z), ee as (select list_sort(list_distinct(list_transform(quantile_cont(v, [{steps}]), lambda x: round(x,6)))) e from vv where r),
  bb as (select least(len(list_filter(e, lambda x: x <= v)), len(e)-1) bin, r from vv, ee where v>=e[1] and v<=e[len(e)] and len(e)>1),
- n as (select bin, count(*) filter (r) nr, count(*) filter (not r) nc from bb group by 1), tt as (select count(*) filter (r) tr, count(*) filter (not r) tc from vv),
+ n as (select bin, count(*) filter (r) nr, count(*) filter (not r) nc from bb group by 1), tt as (select greatest(sum(nr), 1) tr, greatest(sum(nc), 1) tc from n),
  g as (select unnest(range(1, greatest(1, len(e)))) bin from ee),
  x as (select greatest(coalesce(nr,0)/tr::double, 1e-6) a, greatest(coalesce(nc,0)/tc::double, 1e-6) c from g left join n using (bin), tt)
  select round(coalesce(sum((c-a)*ln(c/a)),0.0),4) psi from x""",
@@ -163,7 +163,7 @@ ORACLE_SQL = {
     "auc_heuristic": _with("Z", ", rk as (select y, rank() over (order by p) + (count(*) over (partition by p) - 1)/2.0 k from Z) select round((sum(k) filter (y=1) - count(*) filter (y=1)*(count(*) filter (y=1)+1)/2.0)/nullif((count(*) filter (y=1))*(count(*) filter (y=0)),0)::double,4)::double auc from rk"),
     "psi_amount": _psi("amount"),
     "psi_velocity": _psi("velocity_score"),
-    "latency_percentiles": "with x as (select value, row_number() over (order by value) - 1 i, count(*) over () n from events) select " + ", ".join(f"min(value) filter (i = round({p}*(n-1))) p{round(p * 100)}" for p in (0.5, 0.95, 0.99)) + ", max(value) \"max\" from x",
+    "latency_percentiles": "with x as (select value, row_number() over (order by value) - 1 i, count(*) over () n from events) select " + ", ".join(f"min(value) filter (i = round_even({p}*(n-1), 0)) p{round(p * 100)}" for p in (0.5, 0.95, 0.99)) + ", max(value) \"max\" from x",
     "dq_tests": _with("M", """select 'not_null:transaction_health_sk' test, count(*) filter (transaction_health_sk is null) failures from M union all select 'not_null:is_high_value', count(*) filter (is_high_value is null) from M
  union all select 'not_null:risk_score', count(*) filter (risk_score is null) from M union all select 'accepted:channel', count(*) filter (channel not in ('ach','fednow')) from M
  union all select 'unique:transaction_health_sk', count(*) from (select 1 from M group by transaction_health_sk having count(*)>1)"""),

@@ -1,11 +1,12 @@
 """Properties of merges, history, storage and streaming that single queries don't show."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.operators import governance, merge, quality, scd2
+from riskflow.operators import features, governance, merge, quality, scd2
 from riskflow.sources.store import Store
 from riskflow.streaming import bronze
 
@@ -53,9 +54,12 @@ def test_replay_of_a_batch_changes_nothing(spark):
     assert history(spark, first, second) == history(spark, first, second, second)
 
 
-def test_several_source_rows_for_a_key_are_an_error(spark):
-    with pytest.raises(ValueError):
-        merge.checked(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
+@pytest.mark.parametrize("run", [lambda t, s: merge.insert_only(t, s, ["k"]), lambda t, s: merge.upsert(t, s, ["k"]), lambda t, s: merge.update_only(t, s, ["k"], ["v"])])
+def test_several_source_rows_for_a_key_are_an_error(spark, run):
+    target, source = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), spark.createDataFrame([(1, 3.0), (3, 4.0)], "k int, v double")
+    assert run(target, source).count() >= 2
+    with pytest.raises(Exception, match="several source rows"):
+        run(target, source.union(source)).collect()
 
 
 def test_update_only_takes_nulls(spark):
@@ -82,6 +86,25 @@ def test_classifier(spark, row, kind, detail):
     assert (got._error_type, got._error_detail) == (kind, detail)
 
 
+def test_rolling_across_spans_and_point_in_time_against_plain_loops(spark):
+    r = random.Random(4)
+    rows = [(i, r.randint(1, 3), T0 + dt.timedelta(hours=r.randint(0, 24 * 400)), float(r.randint(1, 50))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, customer_id long, txn_ts timestamp_ntz, amount double")
+    for x in features.rolling(df, span=2 * features.MONTH).collect():
+        month = [a for _, k, t, a in rows if k == x.customer_id and dt.timedelta() <= x.txn_ts - t <= dt.timedelta(days=30)]
+        hour = [1 for _, k, t, _ in rows if k == x.customer_id and dt.timedelta() <= x.txn_ts - t <= dt.timedelta(hours=1)]
+        assert (x.txn_count_1h, x.amount_mean_30d) == (len(hour), pytest.approx(sum(month) / len(month)))
+    versions = [(1, "a", 10, 20), (1, "b", 30, 100), (1, "c", 100, None), (2, "d", 50, 60)]
+    day = lambda n: None if n is None else T0 + dt.timedelta(days=n)
+    dim = spark.createDataFrame([(k, s, day(a), day(b)) for k, s, a, b in versions], "customer_id long, risk_segment string, effective_start timestamp_ntz, effective_end timestamp_ntz")
+    first = {k: min(a for q, _, a, _ in versions if q == k) for k in (1, 2)}
+    got = features.point_in_time(df, dim).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        valid = [(s, day(a)) for k, s, a, b in versions if k == x.customer_id and (a == first[k] or x.txn_ts >= day(a)) and (b is None or x.txn_ts < day(b))]
+        assert [(x.risk_segment, x.version_start)] == (valid or [(None, None)])
+
+
 def test_store_versions_and_batches(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     assert not store.exists("t")
