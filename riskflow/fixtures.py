@@ -67,3 +67,26 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """transaction_id, score: a stand-in for model output, NULL for some."""
     k = F.get_json_object("props", "$.k").cast("int")
     return read(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("transaction_id"), F.when(k % 37 != 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), k / 100.0))).alias("score"))
+
+
+def generated(spark: SparkSession, events: int = 500, customers: int = 50) -> DataFrame:
+    """Synthetic events of a pool of customers, each value drawn by a hash of the event's number and the column's name: the same
+    events at every run and on every partition."""
+
+    def draw(name: str):
+        return F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{name}"))), 1, 8), 16, 10).cast("bigint")
+
+    def below(name: str, share: float):
+        return draw(name) < F.lit(int(share * 2**32))
+
+    return spark.range(events).select(
+        F.md5(F.col("id").cast("string")).alias("transaction_id"),
+        F.concat(F.lit("CU"), F.lpad((draw("customer") % customers).cast("string"), 5, "0")).alias("customer_id"),
+        ((100 + draw("amount") % 499_901) / 100).cast("decimal(12,2)").alias("amount"),
+        F.when(below("channel", 0.5), "fednow").otherwise("ach").alias("channel"),
+        F.expr("timestampadd(SECOND, id, timestamp_ntz'2024-01-01 00:00:00')").alias("txn_ts"),
+        F.when(below("op", 0.80), "insert").when(below("op", 0.95), "update").otherwise("delete").alias("op_type"),
+        (draw("lag") % 91).alias("lag"),
+        below("payee", 0.20).alias("is_new_payee"),
+        below("fraud", 0.03).alias("is_fraud"),
+    ).withColumn("change_ts", F.expr("timestampadd(SECOND, -lag, txn_ts)")).drop("lag")

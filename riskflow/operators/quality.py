@@ -43,27 +43,45 @@ def error_type() -> Column:
     return first_match([*ordered, (F.trim("customer_id") == "", F.lit(NULLS))])
 
 
+#: The order of the reasons, as (what is wrong, field), and their texts.
+REASONS = [
+    ("unparsed", None),
+    ("missing", "op_type"),
+    ("missing for", "change_ts"),
+    ("missing", "change_ts"),
+    ("exceeds ceiling", "amount"),
+    ("not positive", "amount"),
+    ("null", "transaction_id"),
+    ("null", "customer_id"),
+    ("empty", "customer_id"),
+    ("null", "amount"),
+    ("null", "txn_ts"),
+    ("not allowed", "channel"),
+    ("not allowed", "op_type"),
+    ("missing", "channel"),
+]
+TEXTS = {"unparsed": "raw payload present but all typed fields null", "missing for": "change_ts missing for op_type "}
+ALLOWED = {"channel": CHANNELS, "op_type": OPS}
+
+
+def _reason(wrong: str, field: str | None) -> tuple[Column, Column]:
+    """When a reason holds, and its text; reasons about a value end with it."""
+    text = TEXTS.get(wrong, f"{field} {wrong}")
+    if wrong == "unparsed":
+        return unparsed(), F.lit(text)
+    if wrong in ("missing", "null"):
+        return c(field).isNull(), F.lit(text)
+    if wrong == "empty":
+        return F.trim(field) == "", F.lit(text)
+    if wrong == "missing for":
+        return c(field).isNull() & c("op_type").isin(*MUTATIONS), F.concat(F.lit(text), c("op_type"))
+    tests = {"exceeds ceiling": lambda: c(field) > CEILING, "not positive": lambda: c(field) <= 0, "not allowed": lambda: ~c(field).isin(*ALLOWED[field])}
+    return tests[wrong](), F.concat(F.lit(f"{text}: "), c(field).cast("string"))
+
+
 def error_detail() -> Column:
     """The reason, in its own order; also for a missing channel, which has a category."""
-    text, amount = F.lit, c("amount").cast("string")
-    return first_match(
-        [
-            (unparsed(), text("raw payload present but all typed fields null")),
-            (c("op_type").isNull(), text("op_type missing")),
-            (c("change_ts").isNull() & c("op_type").isin(*MUTATIONS), F.concat(text("change_ts missing for op_type "), c("op_type"))),
-            (c("change_ts").isNull(), text("change_ts missing")),
-            (c("amount") > CEILING, F.concat(text("amount exceeds ceiling: "), amount)),
-            (c("amount") <= 0, F.concat(text("amount not positive: "), amount)),
-            (c("transaction_id").isNull(), text("transaction_id null")),
-            (c("customer_id").isNull(), text("customer_id null")),
-            (F.trim("customer_id") == "", text("customer_id empty")),
-            (c("amount").isNull(), text("amount null")),
-            (c("txn_ts").isNull(), text("txn_ts null")),
-            (~c("channel").isin(*CHANNELS), F.concat(text("channel not allowed: "), c("channel"))),
-            (~c("op_type").isin(*OPS), F.concat(text("op_type not allowed: "), c("op_type"))),
-            (c("channel").isNull(), text("channel missing")),
-        ]
-    )
+    return first_match([_reason(*r) for r in REASONS])
 
 
 def classify(bronze: DataFrame) -> DataFrame:

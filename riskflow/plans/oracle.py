@@ -170,6 +170,28 @@ ORACLE_SQL = {
     "stream_bronze_counts": _with("B", "select _partition, count(*) n, count(transaction_id) with_id from B group by 1"),
     "stream_replay_noop": _with("B", "select _partition, count(*) n from B group by 1"),
     "clustering_layout": _with("V", "select transaction_id, customer_id, op_type from V"),
-    "column_tags": "select 'customer_id' column_name, 'pii' tag union all select 'amount', 'financial'",
+    "column_tags": """select * from (values ('fct_transaction_health','customer_id','pii','true'),
+ ('fct_transaction_health','customer_id','classification','identifier'),
+ ('fct_transaction_health','model_distress_score','data_class','model-output'),
+ ('fct_transaction_health','model_distress_score','model','fraud_classifier'),
+ ('fct_transaction_health','risk_score','data_class','derived-heuristic'),
+ ('fct_transaction_health','risk_segment','data_class','sensitive'),
+ ('dim_customers_snapshot','customer_id','pii','true'),
+ ('dim_customers_snapshot','customer_id','classification','identifier'),
+ ('dim_customers_snapshot','home_country','pii','true'),
+ ('dim_customers_snapshot','home_country','classification','location'),
+ ('dim_customers_snapshot','account_open_date','pii','true'),
+ ('dim_customers_snapshot','account_open_date','classification','account-metadata')) t(table_name, column_name, tag, value)""",
+    "flow_counts": _with("Q V C T", """select 'silver' stage, 'rows_in' metric, count(*) n from Q union all select 'silver', 'rows_passed', count(*) from Q where error_type is null union all select 'silver', 'rows_deadlettered', count(*) from Q where error_type is not null
+ union all select 'history', 'changes_in', count(*) from C union all select 'history', 'versions', count(*) from (select * from C qualify row_number() over (partition by customer_id order by change_ts desc, op_type)=1) where op_type='insert' union all select 'history', 'versions_before', 0
+ union all select 'gold', 'rows_out', count(*) from T union all select 'mart', 'rows_out', count(*) from T union all select 'maintain', 'silver', count(*) from V union all select 'maintain', 'gold', count(*) from T"""),
+    "kv_features": _with("O J", """, g as (select risk_segment, avg(amount::double) m, stddev_samp(amount::double) s from J group by 1),
+ kv as (select O.customer_id k, amount_zscore_30d z, txn_count_1h::double n, velocity_score v, case when O.customer_id%3=0 then 0.0 when s>0 then (amount::double-m)/s else 0.0 end p, coalesce(O.risk_segment,'unknown') r from O left join g on O.risk_segment=g.risk_segment)
+ select c_custkey customer_id, round(z,4) amount_zscore_30d, n txn_count_1h, v velocity_score, round(p,4)::double peer_deviation, r risk_segment from customer left join kv on c_custkey=k"""),
+    "writeback_stats": _with("S T", "select count(*) rows_scored, count(score) non_null_after, round(sum(score),6)::double score_checksum from S join T using (transaction_id)"),
+    "generated_events": """with x as (select range id from range(500)), u as (select id, list_transform(['customer','amount','channel','op','lag','payee','fraud'], lambda f: ('0x' || md5(id::varchar || ':' || f)[1:8])::bigint) u from x)
+ select md5(id::varchar) transaction_id, 'CU' || lpad((u[1]%50)::varchar,5,'0') customer_id, ((100+u[2]%499901)/100.0)::decimal(12,2)::double amount, case when u[3]<2147483648 then 'fednow' else 'ach' end channel,
+ timestamp '2024-01-01' + to_seconds(id) txn_ts, case when u[4]<3435973836 then 'insert' when u[4]<4080218931 then 'update' else 'delete' end op_type, u[6]<858993459 is_new_payee, u[7]<128849018 is_fraud, timestamp '2024-01-01' + to_seconds(id - u[5]%91) change_ts from u""",
 }
 ORACLE_SQL["promotion_gate"] = f"select auc cv_auc, 0.5::double heuristic_auc, coalesce(auc>=0.6 and auc>0.5, false) promoted from ({ORACLE_SQL['auc_heuristic']})"
+ORACLE_SQL |= {"deadletter_sink": ORACLE_SQL["dq_deadletter"], "silver_sink": ORACLE_SQL["silver_merge_replay_noop"], "clustered_table": ORACLE_SQL["clustering_layout"], "labels_table": ORACLE_SQL["labels_promoted"], "gold_untuned": ORACLE_SQL["gold_enriched"], "row_policy_session": ORACLE_SQL["row_policy_restricted"]}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,10 @@ from .. import fixtures as fx
 from ..functions import metrics
 from ..operators import features as ft
 from ..operators import governance, merge, model, quality, scd2
+from ..session import shared_folder
 from ..sources.store import Store
 from ..streaming import bronze
+from . import flow
 
 c = F.col
 r4 = lambda name: F.round(name, 4).alias(name)
@@ -21,9 +22,8 @@ CURRENT = ["risk_segment", "home_country"]
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='riskflow-')}"
-    return f"{base}/riskflow-{uuid.uuid4().hex[:12]}"
+    """A new folder where all executors can write: in the session's shared folder, or on this machine if all of Spark runs here."""
+    return f"{shared_folder(spark)}/riskflow-{uuid.uuid4().hex[:12]}"
 
 
 def _decoded(s: SparkSession, d: str) -> DataFrame:
@@ -161,8 +161,12 @@ def peer_deviation_raw(s, d):
     return ft.peer_raw(ft.with_current(fx.transactions(s, d), _dimension(s, d))).select("transaction_id", "risk_segment", r4("peer_deviation_raw"))
 
 
+def _gold_columns(g: DataFrame) -> DataFrame:
+    return g.select("transaction_id", "customer_id", "risk_segment", "channel", c("amount").cast("double").alias("amount"), "txn_ts", "is_fraud", "txn_count_1h", r4("amount_mean_30d"), r4("amount_std_30d"), r4("amount_zscore_30d"), "velocity_score", r4("peer_deviation"))
+
+
 def gold_enriched(s, d):
-    return _gold(s, d).select("transaction_id", "customer_id", "risk_segment", "channel", c("amount").cast("double").alias("amount"), "txn_ts", "is_fraud", "txn_count_1h", r4("amount_mean_30d"), r4("amount_std_30d"), r4("amount_zscore_30d"), "velocity_score", r4("peer_deviation"))
+    return _gold_columns(_gold(s, d))
 
 
 def stg_transactions(s, d):
@@ -362,7 +366,7 @@ def _frame(s, d):
 
 def model_train_score(s, d):
     frame, names = _frame(s, d)
-    fitted = model.train(frame, names, "label", rounds=10)
+    fitted = model.train(frame, names, "label")
     return model.score(fitted, frame).select("transaction_id", "label", "score")
 
 
@@ -379,8 +383,122 @@ def clustering_layout(s, d):
 
 
 def column_tags(s, d):
-    t = governance.tagged(fx.transactions(s, d), {"customer_id": {"class": "pii"}, "amount": {"class": "financial"}})
-    return s.createDataFrame([(f.name, f.metadata["class"]) for f in t.schema if f.metadata.get("class")], "column_name string, tag string")
+    """Tags of the governed columns, as the schemas of the tagged tables hold them."""
+    customers = fx.read(s, d, "customer").select(c("c_custkey").alias("customer_id"), c("c_nationkey").alias("home_country"), F.lit(None).cast("date").alias("account_open_date"))
+    frames = {"fct_transaction_health": _mart(s, d), "dim_customers_snapshot": customers}
+    found = [(t, f.name, k, str(v)) for t, df in frames.items() for f in governance.tagged(df, governance.TAGS[t]).schema for k, v in f.metadata.items()]
+    return s.createDataFrame(found, "table_name string, column_name string, tag string, value string")
+
+
+def row_policy_session(s, d):
+    """The filter as a SQL function of the session's user, who isn't privileged."""
+    pit_join(s, d).createOrReplaceTempView("policy_facts")
+    return s.sql(f"SELECT * FROM policy_facts WHERE {governance.session_policy(s, ('auditor',))}(risk_segment)")
+
+
+def gold_untuned(s, d):
+    return _gold_columns(ft.gold(fx.transactions(s, d), _dimension(s, d), tuned=False))
+
+
+def generated_events(s, d):
+    return fx.generated(s).withColumn("amount", c("amount").cast("double"))
+
+
+def _store(s: SparkSession) -> Store:
+    return Store(s, _folder(s))
+
+
+def _after_flow(s, d) -> tuple[Store, dict]:
+    store = _store(s)
+    store.write("bronze", _decoded(s, d))
+    stages = {
+        "silver": lambda: flow.to_silver(store),
+        "history": lambda: flow.to_history(store, fx.changes(s, d)),
+        "gold": lambda: flow.to_gold(store, fx.transactions(s, d)),
+        "mart": lambda: flow.to_mart(store, fx.transactions(s, d)),
+        "maintain": lambda: flow.maintain(store),
+    }
+    return store, flow.run_stages(stages)
+
+
+def flow_counts(s, d):
+    """All stages over a store, and what they counted."""
+    rows = [(stage, k, int(v)) for stage, counts in _after_flow(s, d)[1].items() for k, v in counts.items()]
+    return s.createDataFrame(rows, "stage string, metric string, n long")
+
+
+def _twice_silver(s, d) -> Store:
+    store = _store(s)
+    store.write("bronze", _decoded(s, d))
+    for _ in range(2):
+        flow.to_silver(store)
+    return store
+
+
+def deadletter_sink(s, d):
+    """The stored dead letters after a run that was repeated."""
+    return _twice_silver(s, d).read("deadletter").select("transaction_id", c("_error_type").alias("error_type"), c("_error_detail").alias("error_detail"), "_partition", "_offset")
+
+
+def silver_sink(s, d):
+    """Stored silver after a run that was repeated."""
+    return _twice_silver(s, d).read("silver").select("transaction_id", "customer_id", "amount", "channel", "txn_ts", "op_type", "change_ts", "is_fraud")
+
+
+def clustered_table(s, d):
+    store = _store(s)
+    store.write("silver", _silver(s, d).select("transaction_id", "customer_id", "op_type"))
+    return store.cluster("silver", "customer_id", 4)
+
+
+def labels_table(s, d):
+    """A table created from a query over views of stored tables."""
+    store = _store(s)
+    store.write("txns", fx.transactions(s, d).select("transaction_id", "is_fraud"))
+    sql = "SELECT transaction_id, max(cast(is_fraud AS int)) AS actual_fraud FROM txns WHERE cast(transaction_id AS bigint) % 2 = 0 GROUP BY transaction_id"
+    return store.create_as("transaction_labels", sql, ("txns",))
+
+
+def kv_features(s, d):
+    """Features of all customers from the key-value table; a third of them were stored without one field."""
+    store = _store(s)
+    newest = model.online_features(_gold(s, d), "customer_id", "txn_ts", [*model.NUMERIC, *model.CATEGORICAL], "transaction_id")
+    model.populate(store, newest.withColumn("peer_deviation", F.when(c("customer_id") % 3 != 0, c("peer_deviation"))))
+    found = model.lookup(store, fx.read(s, d, "customer").select(c("c_custkey").alias("customer_id")))
+    return found.select("customer_id", *[r4(n) for n in model.NUMERIC], *model.CATEGORICAL)
+
+
+def writeback_stats(s, d):
+    store, m = _store(s), _mart(s, d)
+    store.write("mart", m)
+    scores = fx.scores(s, d).join(store.read("mart").select("transaction_id", "transaction_health_sk"), "transaction_id").select("transaction_health_sk", "score")
+    return s.createDataFrame([tuple(model.write_scores(store, scores).values())], "rows_scored long, non_null_after long, score_checksum double")
+
+
+def model_holdout(s, d):
+    frame, names = _frame(s, d)
+    run = model.holdout(frame, names, "label", "transaction_id", rounds=20)[1]
+    return s.createDataFrame([(k, float(v)) for k, v in run["metrics"].items()], "metric string, value double")
+
+
+def model_evaluated(s, d):
+    """Out-of-fold figures of 20 rounds (each fold is a fit), the gate's decision, and the registered version."""
+    frame, names = _frame(s, d)
+    registry = model.Registry(_store(s))
+    found = model.evaluate(registry, frame, names, "label", "transaction_id", "amount_zscore_30d", rounds=20)
+    _, version, stage = registry.load("champion")
+    rows = [*found.items(), ("served_version", version), ("served_as_champion", stage == "champion")]
+    return s.createDataFrame([(k, float(v)) for k, v in rows if v is not None], "metric string, value double")
+
+
+def served_requests(s, d):
+    """Requests of all customers through the online features and a model."""
+    store, vocabulary = _store(s), {"channel": ["ach", "fednow"], "risk_segment": ["high", "low", "medium", "unknown"]}
+    frame, names = _frame(s, d)
+    names = [n for n in names if n != "hour"] + ["hour"]
+    model.populate(store, model.online_features(frame, "customer_id", "txn_ts", [*model.NUMERIC, *model.CATEGORICAL], "transaction_id"))
+    asked = fx.read(s, d, "customer").select(c("c_custkey").cast("string").alias("transaction_id"), c("c_custkey").alias("customer_id"), F.lit("120.50").alias("amount"), F.lit("ach").alias("channel"), F.lit("2024-02-01T13:45:00").alias("txn_ts"))
+    return model.respond(model.train(frame, names, "label", rounds=5), asked, store, vocabulary, "unpromoted")
 
 
 QUERIES = {n: f for n, f in list(globals().items()) if callable(f) and not n.startswith("_") and getattr(f, "__module__", "") == __name__ and n != "r4"}

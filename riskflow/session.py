@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -24,9 +25,25 @@ def session(name: str = "riskflow", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; a temporary one where none is set and all of Spark runs
+    on this machine. Elsewhere executors would write to their own disks, so that is an error."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='riskflow-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def ship(spark: SparkSession) -> None:
-    """Makes the package importable in Python workers, once for each application."""
+    """Makes the package importable in Python workers, once for each application. Rows may hold long texts, so Arrow batches are
+    kept small unless the session has a size of its own."""
     app = spark.sparkContext.applicationId
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "2000")
     if app in _shipped:
         return
     root = Path(__file__).parent

@@ -48,10 +48,32 @@ class Store:
         entry = [e for e in self.log(table) if version is None or e["version"] <= version][-1]
         return self.spark.read.schema(StructType.fromJson(entry["schema"])).parquet(*[f"{self.root}/{table}/{f}" for f in entry["folders"]])
 
+    def written(self, table: str, app: str, batch: int) -> bool:
+        """Whether this application's batch is in the table."""
+        return any(e["app"] == app and e["batch"] == batch for e in self.log(table))
+
+    def view(self, table: str, name: str | None = None) -> DataFrame:
+        """The table, also as a temporary view for SQL, by its own name if no other is given."""
+        df = self.read(table)
+        df.createOrReplaceTempView(name or table)
+        return df
+
+    def create_as(self, table: str, sql: str, views: tuple[str, ...] = ()) -> DataFrame:
+        """Creates or replaces a table from a query over views of other tables; returns it as a view of its name."""
+        for v in views:
+            self.view(v)
+        self.write(table, self.spark.sql(sql))
+        return self.view(table)
+
+    def cluster(self, table: str, key: str, files: int) -> DataFrame:
+        """Rewrites a table into `files` files by ranges of key, sorted inside, as a new version; rows don't change."""
+        self.write(table, self.read(table).repartitionByRange(files, key).sortWithinPartitions(key))
+        return self.read(table)
+
     def write(self, table: str, df: DataFrame, append: bool = False, app: str | None = None, batch: int | None = None) -> bool:
         """Commits a new version; False, and nothing written, if this application's batch is there already."""
         log = self.log(table)
-        if app is not None and any(e["app"] == app and e["batch"] == batch for e in log):
+        if app is not None and self.written(table, app, batch):
             return False
         version = len(log) + 1
         folder = f"v={version}-{uuid.uuid4().hex[:8]}"
