@@ -20,7 +20,7 @@ from itertools import chain
 
 import numpy as np
 
-from .shared import ragged
+from .shared import ragged, tidy
 
 _CUT = re.compile(r"(?<=\S)(?= )")
 #: Borders inside a chunk: between a letter and one of these marks, and between a lone line feed and a letter.
@@ -73,6 +73,7 @@ class ChunkEncoder:
         """Gives the memory of a well-filled cache back, as at the end of a task, after which the worker may sit idle."""
         if self.count > self.limit // 4:
             self._reset()
+            tidy()
 
     def _reset(self):
         self.spaced, self.plain = _Codes(self, " "), _Codes(self, "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -12,26 +12,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: Bytes of text that a Python worker turns into words at once.
 SLICE_BYTES = 1 << 20
 #: A side of at most so many bytes, by its counted rows, may be broadcast.
 BROADCAST_BYTES = 64 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (local tests)."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = f"file://{tempfile.mkdtemp(prefix='riskflow-')}"
-        spark.conf.set("spark.checkpoint.dir", conf)
-    return conf.rstrip("/")
-
-
 class Scratch:
     """Tables written to the shared folder so that a lost executor costs one stage, not the whole lineage."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, f"{shared_dir(spark)}/riskflow-{name}-{uuid.uuid4().hex[:12]}"
+        self.spark, self.path = spark, f"{shared_folder(spark)}/riskflow-{name}-{uuid.uuid4().hex[:12]}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
@@ -48,8 +41,17 @@ def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def tidy() -> None:
+    """Gives freed memory of a Python worker back to the system; the worker lives on and may sit idle."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each piece has about `most` bytes of text; a single longer text stays whole."""
+    """The batches, cut so that each piece has about `most` bytes of text; a single longer text stays whole. Tidies up at the end."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -59,6 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+    tidy()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
