@@ -185,6 +185,7 @@ def sort_groups(parts: DataFrame, scratch: Scratch, threshold: int, gram: int, m
         level += 1
         halves = scratch.keep(wide.drop("members").mapInArrow(_split(threshold, gram), PARTS.rpartition(",")[0]), f"halves-{level}")
         members = halves.groupBy("g").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        members = scratch.keep(members, f"members-{level}")
         parts = scratch.keep(halves.join(members.hint("merge"), "g").select(*PARTS.replace(",", "").split(" ")[::2]), f"parts-{level}")
     out = found[0]
     for more in found[1:]:
@@ -226,12 +227,14 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, threshold: int, gram: in
 
     # Anchor strings that more than one run has, and these runs.
     often = docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    often = scratch.keep(often, "often")  # a table, as skew is split only between two shuffled sides
     placed = docs.select("row", "text").mapInArrow(place, "key long, ctx binary, row binary, place long")
     placed = scratch.keep(placed.join(often.hint("merge"), "key"), "placed")
     # Distinct contexts, and those with others of their anchor string.
     contexts = placed.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "place")).alias("sample"))
     contexts = scratch.keep(contexts, "contexts")
     mixed = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    mixed = scratch.keep(mixed, "mixed")
     going = contexts.join(mixed.hint("merge"), "key").select("sample.row", F.struct("key", "ctx", "sample.place", "members").alias("w"))
     wanted = going.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     # Their bytes: each text travels once. Equal rows share a key, so one of them is taken.
@@ -240,6 +243,7 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, threshold: int, gram: in
     some = sort_groups(parts, scratch, threshold, gram, most)
     whole = contexts.filter("copies > 1").select("ctx", F.lit(0).alias("offset"), F.col("sample.place").bitwiseAND(0xFFFF).cast("int").alias("n"))
     spans = some.unionByName(whole).groupBy("ctx").agg(F.collect_set(F.struct("offset", "n")).alias("spans"))  # few for each context
+    spans = scratch.keep(spans, "spans")
     at = placed.select("ctx", "row", F.shiftright("place", 32).alias("at")).join(spans.hint("merge"), "ctx")
     return at.select("row", "at", F.explode("spans").alias("s")).select("row", (F.col("at") + F.col("s.offset")).alias("first"), F.col("s.n").cast("long").alias("n"))
 
