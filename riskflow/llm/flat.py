@@ -66,6 +66,28 @@ class PrefixHash:
         return mix(raw + np.uint64(size * 0xA24BAED4963EE407 & _MASK))
 
 
+class PrimeHash:
+    """A second hash of ranges, modulo a prime: sequences built to collide modulo a power of two don't collide here."""
+
+    PRIME, BASE = (1 << 31) - 1, 1_103_515_245
+
+    def __init__(self, values: np.ndarray):
+        n, p = len(values), self.PRIME
+        up, down = np.ones(n + 1, np.int64), np.ones(n + 1, np.int64)
+        for powers, base in ((up, self.BASE), (down, pow(self.BASE, -1, p))):
+            done = 1
+            while done <= n:
+                take = min(done, n + 1 - done)
+                powers[done : done + take] = powers[:take] * pow(base, done, p) % p
+                done += take
+        self.up, terms = up, (values % np.uint64(p)).astype(np.int64) * down[:n] % p
+        self.sums = np.append(0, np.cumsum(terms))
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of values[start:end]; compare those of equal lengths only."""
+        return (self.sums[end] - self.sums[start]) % self.PRIME * self.up[start] % self.PRIME
+
+
 class FlatTexts:
     """Texts in lower case, one after the other, a line feed after each. None counts as empty."""
 

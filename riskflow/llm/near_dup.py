@@ -8,7 +8,8 @@ probability 0.9998 in two or more; one agreement alone comes mostly from a passa
 A candidate pair is a near duplicate if the multiset Jaccard similarity of the shingles is 0.8 or more and an
 alignment of the words inside a band has at most a fifth of the words unmatched.
 
-Documents with the same words are collapsed first, so that groups of copies never meet in one task. Each text is compared
+Documents with the same words (by a 128-bit digest of them) are collapsed first, so that groups of copies never meet in one
+task; each distinct sequence of words is a node with a number of its own, whatever its doc_ids. Each node is compared
 with the hub (the smallest member) that it meets most often; the classes that follow leave most buckets with one class,
 and these are done. In all other buckets every pair of members is compared unless its ends are in one class already, so
 no link between classes is missed. A pair belongs to the first sketch in which it agrees, so one task alone meets it. The
@@ -17,21 +18,22 @@ takes two blocks. Rounds end in written tables. Classes are connected components
 smallest doc_id.
 
 Nulls and odd input: a null or empty text, or one without words, has the empty sequence; all of these are copies of
-each other. Texts of one to four words have one shingle of all their words. Rows that repeat a doc_id keep a row each;
-their texts count as linked through it; a null doc_id stays null and never gives a class its id unless the class has no
-other. An empty table gives no row; other columns are not read.
+each other. Texts of one to four words have one shingle of all their words. Rows that repeat a doc_id keep a row each, each
+with the class of its own text; a null doc_id stays null and gives a class no id: a class without any other has a null id.
+An empty table gives no row; other columns are not read by `near_duplicates` and kept by `one_of_each`.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .flat import FlatTexts, PrefixHash
+from .flat import FlatTexts, PrefixHash, PrimeHash
 from .shared import Scratch, maybe_broadcast, mix, ragged, slices
 
 SHINGLE, TAKE, SKETCHES, LEAST = 5, 3, 16, 0.8
@@ -40,7 +42,7 @@ GROUP, BLOCK_CHARS = 1024, 8 << 20
 #: A sketch's hash in a bucket has its band above so many bits.
 BAND_BITS = 56
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
+SKETCHED = "doc_id long, t binary, h binary, sketches array<long>"
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,20 +105,28 @@ def sketch(keys: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def word_digests(flat: FlatTexts, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """A 128-bit digest of the words of each text."""
+    keep = np.zeros(len(flat.codes), bool)
+    keep[ragged(start, end - start)] = True
+    keep[end] = True  # what follows a word parts it from the next
+    codes = np.where(keep, flat.codes, 0).astype("<u4")
+    codes[end] = 0
+    upto = np.append(0, np.cumsum(keep))
+    data, ends = codes[keep].tobytes(), 4 * upto[flat.end + 1]
+    return [hashlib.md5(data[a:b]).digest() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        words, doc = word_hashes(batch.column("text").to_pylist())
-        n = batch.num_rows
-        count = np.bincount(doc, minlength=n)
-        end = np.cumsum(count)
-        h1 = PrefixHash(words).ranges(end - count, end)
-        h2 = PrefixHash(mix(words + np.uint64(0x51ED270B))).ranges(end - count, end)
-        keys, own = shingles(words, doc)
+        flat, n = FlatTexts(batch.column("text").to_pylist()), batch.num_rows
+        start, end = flat.words("alnum")
+        keys, own = shingles(flat.hashes().ranges(start, end), flat.doc_of(start))
         rows = np.zeros((n, SKETCHES), np.uint64)
         if len(keys):
             rows[np.unique(own)] = sketch(keys, own, n)
         lists = pa.ListArray.from_arrays(np.arange(0, n * SKETCHES + 1, SKETCHES, dtype=np.int32), pa.array(rows.reshape(-1).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists], names=["doc_id", "h1", "h2", "sketches"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(word_digests(flat, start, end), pa.binary()), lists], names=["doc_id", "t", "h", "sketches"])
 
 
 def labelled(words: np.ndarray) -> np.ndarray:
@@ -137,11 +147,12 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return similarity(labelled(a), labelled(b))
 
 
-def unmatched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+def unmatched(a: np.ndarray, b: np.ndarray, most: int, few: int = 64) -> int | None:
     """Words of both sequences that the best alignment leaves unmatched; None if over `most`.
 
-    Furthest-reaching points are kept on the diagonals of the band of half-width `most` alone, so the work is bounded
-    by the square of the differences, not by the lengths.
+    Furthest-reaching points are kept on the diagonals of the band of half-width `most` alone. The first `few` rounds go point
+    by point; later ones move all diagonals at once and find how far equal words go by halving, so a round takes a few
+    array operations whatever the texts repeat.
     """
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
@@ -150,25 +161,48 @@ def unmatched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
     tail = int(differ[0]) if len(differ) else n
-    a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
-    if not a or not b:
-        d = len(a) + len(b)
-        return d if d <= most else None
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
     la, lb = len(a), len(b)
+    if not la or not lb:
+        return la + lb if la + lb <= most else None
+    x_of, y_of = a.tolist(), b.tolist()
     reach = {1: 0}
-    for d in range(most + 1):
+    for d in range(min(few, most + 1)):
         for k in range(-min(d, lb), min(d, la) + 1):
             if (k + d) % 2:
                 continue
-            down, right = reach.get(k + 1, -1), reach.get(k - 1, -2) + 1
-            x = max(down, right)
+            x = max(reach.get(k + 1, -1), reach.get(k - 1, -2) + 1)
             if x < 0 or x > la or x - k > lb or x - k < 0:
                 continue
-            while x < la and x - k < lb and a[x] == b[x - k]:
+            while x < la and x - k < lb and x_of[x] == y_of[x - k]:
                 x += 1
             reach[k] = x
             if x >= la and x - k >= lb:
                 return d
+    if few > most:
+        return None
+    first, second, prime_a, prime_b = PrefixHash(a), PrefixHash(b), PrimeHash(a), PrimeHash(b)
+    at = np.full(la + lb + 3, -1, np.int64)  # at[k + lb + 1] is the point on diagonal k
+    for k, x in reach.items():
+        at[k + lb + 1] = x
+    steps = [1 << j for j in reversed(range(max(1, min(la, lb)).bit_length()))]
+    for d in range(few, most + 1):
+        k = np.arange(-min(d, lb), min(d, la) + 1)
+        k = k[(k + d) % 2 == 0]
+        right = at[k + lb]
+        x = np.maximum(at[k + lb + 2], np.where(right >= 0, right + 1, -1))
+        good = (x >= 0) & (x <= la) & (x - k <= lb) & (x - k >= 0)
+        k, x = k[good], x[good]
+        going = np.flatnonzero((x < la) & (x - k < lb))
+        going = going[a[x[going]] == b[x[going] - k[going]]]
+        for step in steps if len(going) else ():
+            near = going[(x[going] + step <= la) & (x[going] - k[going] + step <= lb)]
+            p, q = x[near], x[near] - k[near]
+            equal = (first.ranges(p, p + step) == second.ranges(q, q + step)) & (prime_a.ranges(p, p + step) == prime_b.ranges(q, q + step))
+            x[near[equal]] += step
+        at[k + lb + 1] = x
+        if ((x >= la) & (x - k >= lb)).any():
+            return d
     return None
 
 
@@ -239,10 +273,10 @@ def _inside(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """pairs (a, b) with `good`. Each text travels once for all its pairs on the side of `b`, once for each pair on that of `a`."""
-    left = docs.join(maybe_broadcast(pairs, n, 24), F.col("doc_id") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
-    right = docs.join(maybe_broadcast(pairs.select(F.col("b").alias("own")).distinct(), n, 16), F.col("doc_id") == F.col("own")).select("own", F.col("text").alias("text_b"))
+    left = texts.join(maybe_broadcast(pairs, n, 24), F.col("rep") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
+    right = texts.join(maybe_broadcast(pairs.select(F.col("b").alias("own")).distinct(), n, 16), F.col("rep") == F.col("own")).select("own", F.col("text").alias("text_b"))
     return left.join(right, F.col("b") == F.col("own")).select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, good boolean")
 
 
@@ -264,15 +298,19 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and n_links (verified links of the row's text with others) for each row of docs (doc_id, text)."""
+def digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, label) for each row of docs (doc_id, text): the text's digest and the number of its class."""
     scratch = Scratch(docs.sparkSession, "near")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = scratch.keep(docs.mapInArrow(_sketch_rows, SKETCHED), "sketched")
-    # One text for each sequence of words; its id is the smallest doc_id that has it.
-    texts = scratch.keep(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
-    own = rows.join(texts, ["h1", "h2"]).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["doc_id"])
-    single = own.select("rep", F.posexplode("sketches").alias("band", "sketch")).filter("sketch <> 0")
+    rows = scratch.keep(docs.withColumn("t", digest("text")).mapInArrow(_sketch_rows, SKETCHED), "sketched")
+    # A node for each sequence of words, numbered in a written table, and the text that stands for it.
+    nodes = rows.groupBy("h").agg(F.min("t").alias("t"), F.first("sketches").alias("sketches"))
+    nodes = scratch.keep(nodes.withColumn("rep", F.monotonically_increasing_id()), "nodes")
+    single = nodes.select("rep", F.posexplode("sketches").alias("band", "sketch")).filter("sketch <> 0")
     met = single.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "sketch")
     code = F.shiftleft(F.col("band").cast("long"), BAND_BITS).bitwiseOR(F.xxhash64("sketch").bitwiseAND((1 << BAND_BITS) - 1))
     shared = single.join(met, ["band", "sketch"]).groupBy("rep").agg(F.array_sort(F.collect_list(code)).alias("s")).filter("size(s) > 1")
@@ -282,48 +320,64 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     hubs = scratch.keep(hubs.select("bucket", "hub"), "hubs")
     members = scratch.keep(buckets.join(maybe_broadcast(hubs, hubs.count(), 24), "bucket"), "members")
-    reps = docs.join(maybe_broadcast(members.select(F.col("rep").alias("doc_id")).distinct(), members.count(), 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    reps = scratch.keep(reps, "reps")
-    # First, each text with the hub that it meets most often; most other pairs then need no look.
+    wanted = nodes.select("t", "rep").join(maybe_broadcast(members.select("rep").distinct(), members.count(), 16), "rep")
+    wanted = scratch.keep(wanted, "wanted")
+    texts = docs.select(digest("text").alias("t"), "text").join(maybe_broadcast(wanted, wanted.count(), 48), "t").dropDuplicates(["rep"]).select("rep", "text")
+    texts = scratch.keep(texts, "texts")
+    # First, each node with the hub that it meets most often; most other pairs then need no look.
     pairs = members.filter("rep <> hub").groupBy(F.col("rep").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     pairs = scratch.keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")), "pairs")
     labels = None
     if n := pairs.count():
-        good = scratch.keep(_verified(pairs, reps, n), "verified").filter("good").select("a", "b")
+        good = scratch.keep(_verified(pairs, texts, n), "verified").filter("good").select("a", "b")
         labels = components(good, scratch, "labels-hubs")
-        more = scratch.keep(_between(members, labels, shared, reps, scratch), "between")
+        more = scratch.keep(_between(members, labels, shared, texts, scratch), "between")
         if more.limit(1).count():
-            good = good.union(more).distinct()
-            labels = components(good, scratch, "labels")
-    if labels is not None:
-        links = good.select("a", "b").union(good.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
-        found = labels.join(links, "node", "left").select(F.col("node").alias("rep"), "label", "n_links")
-        texts = texts.join(found, "rep", "left").select("h1", "h2", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+            labels = components(good.union(more).distinct(), scratch, "labels")
+    if labels is None:
+        found = nodes.select("h", F.col("rep").alias("label"))
     else:
-        texts = texts.select("h1", "h2", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return rows.select("doc_id", "h1", "h2").join(texts, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
+        found = nodes.join(labels, F.col("rep") == F.col("node"), "left").select("h", F.coalesce("label", "rep").alias("label"))
+    found = scratch.keep(rows.select("doc_id", "t", "h").join(found, "h").select("doc_id", "t", "label"), "classes")
+    for name in ("sketched", "shared", "members", "texts"):
+        scratch.drop(name)
+    return found
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id for each row of docs (doc_id, text)."""
+    own = classes(docs)
+    ids = own.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    return own.select("doc_id", "label").join(ids.hint("merge"), "label").select("doc_id", "class_id")
 
 
-def _between(members: DataFrame, labels: DataFrame, shared: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
+def _between(members: DataFrame, labels: DataFrame, shared: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Verified pairs (a, b) between the classes that meet in a bucket; a text without links is its own class."""
     known = maybe_broadcast(labels.select(F.col("node").alias("rep"), "label"), labels.count(), 16)
     own = members.join(known, "rep", "left").select("rep", "x", "bucket", F.coalesce("label", "rep").alias("label"))
     open_ = own.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
     open_ = scratch.keep(open_, "open")
     left = own.join(maybe_broadcast(open_, open_.count(), 16), "bucket").select("x", "rep", "label").distinct()
-    left = scratch.keep(left.join(reps.select(F.col("doc_id").alias("rep"), F.length("text").alias("chars")), "rep"), "left")
+    left = scratch.keep(left.join(texts.select("rep", F.length("text").alias("chars")), "rep"), "left")
     blocks = left.groupBy("x").agg(F.ceil(F.greatest(F.count(F.lit(1)) / max(GROUP, 1), F.sum("chars") / BLOCK_CHARS, F.lit(1))).cast("int").alias("blocks"))
     blocks = scratch.keep(blocks, "blocks")
     dealt = left.join(maybe_broadcast(blocks, blocks.count(), 12), "x").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("x", "rep", "label", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("second"))
-    texts = reps.join(shared, F.col("doc_id") == F.col("rep")).select("rep", "text", "s")
-    return dealt.join(texts, "rep").groupBy("x", "lo", "hi").applyInArrow(_inside, "a long, b long").distinct()
+    return dealt.join(texts.join(shared, "rep").select("rep", "text", "s"), "rep").groupBy("x", "lo", "hi").applyInArrow(_inside, "a long, b long").distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id isn't its class's id; of rows that repeat a doc_id, all whose text is in that class stay."""
-    classes = near_duplicates(docs)
-    gone = classes.filter("doc_id <> class_id").select("doc_id").distinct()
-    gone = Scratch(docs.sparkSession, "gone").keep(gone, "ids")
-    return docs.join(maybe_broadcast(gone, gone.count(), 16), "doc_id", "left_anti")
+    """One row of each class, that with the smallest doc_id (a null counts as the largest); of equal rows, one."""
+    own = classes(docs)
+    scratch = Scratch(docs.sparkSession, "chosen")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("best")
+    chosen = scratch.keep(own.groupBy("label").agg(best).select(F.col("best.doc_id").alias("_rf_id"), F.col("best.t").alias("_rf_t")), "rows")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_rf_id")) & (digest("text") == F.col("_rf_t"))
+    left = docs.join(maybe_broadcast(chosen, chosen.count(), 40), same, "left_semi").withColumn("_rf_t", digest("text"))
+    twice = own.groupBy(F.col("doc_id").alias("_rf_id"), F.col("t").alias("_rf_own")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    twice = scratch.keep(twice, "twice")
+    again = F.col("doc_id").cast("long").eqNullSafe(F.col("_rf_id")) & (F.col("_rf_t") == F.col("_rf_own"))
+    side = maybe_broadcast(twice, twice.count(), 40)
+    once = left.join(side, again, "left_anti").unionByName(left.join(side, again, "left_semi").dropDuplicates(["doc_id", "_rf_t"]))
+    return once.select(*docs.columns)

@@ -238,15 +238,34 @@ def test_outliers_that_resemble_one_member_of_a_large_class(spark, monkeypatch,
     assert [got[i] for i in range(len(docs))] == root
 
 
-def test_unmatched_is_the_edit_distance_without_substitution():
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_unmatched_is_the_edit_distance_without_substitution(few):
     r = np.random.default_rng(1)
     for _ in range(60):
-        a, b = r.integers(0, 4, r.integers(0, 12)), r.integers(0, 4, r.integers(0, 12))
+        a, b = (r.integers(0, 4, r.integers(0, 12)).astype(np.uint64) for _ in range(2))
         d = np.add.outer(np.arange(len(a) + 1), np.arange(len(b) + 1))
         for i in range(len(a)):
             for j in range(len(b)):
                 d[i + 1, j + 1] = d[i, j] if a[i] == b[j] else 1 + min(d[i, j + 1], d[i + 1, j])
-        assert near_dup.unmatched(a, b, 30) == d[-1, -1]
+        assert near_dup.unmatched(a, b, 30, few) == d[-1, -1]
+        assert near_dup.unmatched(a, b, int(d[-1, -1]) - 1, few) is None
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    """Each text counts, whatever its doc_id. The two sequences of ab share nearly all shingles and align; they aren't equal."""
+    r = random.Random(9)
+    a, b, c = (r.choices(WORDS, k=100) for _ in range(3))
+    edit = lambda w, p: " ".join([*w[:p], "edited", *w[p + 1 :]])
+    thue = [0]
+    while len(thue) < 1024:
+        thue += [1 - x for x in thue]
+    assert near_dup.unmatched(*(near_dup.word_hashes([" ".join(s[x] for x in thue)])[0] for s in ("ab", "ba")), 409, 0) == 164
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, edit(a, 50)), (3, edit(b, 50)), (None, " ".join(c)), (4, edit(c, 50)), (None, "only here"), (5, "Only, HERE!"), (6, " ".join("ab"[x] for x in thue)), (7, " ".join("ba"[x] for x in thue)), (None, "alone"), (8, None), (8, None), (9, " ".join(a))]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, label int")
+    got = collections.Counter((x.doc_id, x.class_id) for x in near_dup.near_duplicates(df).collect())
+    assert got == collections.Counter([(1, 1), (1, 1), (2, 1), (3, 1), (None, 4), (4, 4), (None, 5), (5, 5), (6, 6), (7, 6), (None, None), (8, 8), (8, 8), (9, 1)])
+    kept = sorted((x.label for x in near_dup.one_of_each(df).collect()))
+    assert kept[:-1] == [0, 1, 5, 7, 8, 10] and kept[-1] in (11, 12)
 
 
 def test_leaks_with_an_edit(spark, bench):
