@@ -81,7 +81,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_language_id": op2_language_id, "op3_token_planes": op3_token_planes, "op4_decontamination": op4_decontamination, "op5_toxicity": op5_toxicity, "op6_suffix_dedup": op6_suffix_dedup, "op7_nearest": op7_nearest, "op8_quotations": op8_quotations, "op9_near_duplicates": op9_near_duplicates, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {
     "op8_quotations": r"""
-WITH m AS (SELECT row_number() OVER () rid, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) lines FROM conversations),
+WITH RECURSIVE m AS (SELECT row_number() OVER () rid, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) lines FROM conversations),
  l AS (SELECT rid, conv_id, turn, unnest(lines) line, generate_subscripts(lines, 1) i FROM m),
  p AS (SELECT rid, conv_id, turn, i, length(regexp_replace(regexp_extract(line, '^([ \t]*>)+'), '[^>]', '', 'g')) level, regexp_replace(line, '^([ \t]*>)+[ \t]?', '') t FROM l),
  g AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY i) - row_number() OVER (PARTITION BY rid, level ORDER BY i) run FROM p),
@@ -90,7 +90,11 @@ WITH m AS (SELECT row_number() OVER () rid, conv_id, turn, role, string_split(co
  k AS (SELECT a.rid, a.level, a.h, max(b.turn) turn FROM n a JOIN n b ON a.conv_id = b.conv_id AND a.h = b.h AND b.level = 0 AND b.turn < a.turn WHERE a.level > 0 AND a.h <> '' GROUP BY 1, 2, 3),
  f AS (SELECT rid, turn quoted, count(*) OVER (PARTITION BY rid) n_linked FROM k QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level, turn DESC) = 1),
  b AS (SELECT rid, trim(coalesce(string_agg(t, chr(10) ORDER BY first_line) FILTER (level = 0), '')) body, cast(max(level) AS int) quote_depth, count(*) FILTER (level > 0) n_quotes FROM q GROUP BY rid),
- w AS (SELECT DISTINCT conv_id, turn + 1 turn, turn earlier FROM m)
-SELECT m.conv_id, m.turn, m.role, body, coalesce(quoted, earlier) reply_to, quote_depth, n_quotes, coalesce(n_linked, 0) n_linked, '<|' || coalesce(m.role, '') || '|>' || chr(10) || body markup
-FROM m JOIN b USING (rid) LEFT JOIN f USING (rid) LEFT JOIN w ON m.conv_id = w.conv_id AND m.turn = w.turn""",
+ d AS (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+ w AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) earlier, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS "position" FROM d),
+ y AS (SELECT m.rid, m.conv_id, m.turn, w."position", coalesce(quoted, earlier) reply_to, coalesce(n_linked, 0) n_linked FROM m LEFT JOIN f USING (rid) LEFT JOIN w ON m.conv_id = w.conv_id AND m.turn = w.turn),
+ e AS (SELECT conv_id, turn, max(reply_to) parent FROM y WHERE "position" IS NOT NULL GROUP BY 1, 2),
+ z AS (SELECT conv_id, turn, turn root, 0::bigint depth FROM e WHERE parent IS NULL UNION ALL SELECT e.conv_id, e.turn, z.root, z.depth + 1 FROM e JOIN z ON e.conv_id = z.conv_id AND e.parent = z.turn)
+SELECT m.conv_id, m.turn, m.role, body, y.reply_to, CASE WHEN y."position" IS NOT NULL THEN coalesce(z.root, m.turn) END root, CASE WHEN y."position" IS NOT NULL THEN coalesce(z.depth + 1, 0) END depth, y."position", quote_depth, n_quotes, y.n_linked, '<|' || coalesce(m.role, '') || '|>' || chr(10) || body markup
+FROM m JOIN b USING (rid) JOIN y USING (rid) LEFT JOIN z ON m.conv_id = z.conv_id AND y.reply_to = z.turn""",
 }

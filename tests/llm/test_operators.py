@@ -340,6 +340,27 @@ def test_quotes_of_parts_of_a_message(spark):
     assert got == {0: (None, 0, 0), 1: (0, 0, 0), 2: (0, 1, 1), 3: (0, 2, 2), 4: (0, 1, 1), 5: (1, 2, 2), 6: (5, 1, 0)}
 
 
+def test_threads_of_replies(spark):
+    """Roots, depths and positions of a chain, of a branch that quotes an old turn, and of a long conversation."""
+    texts = ["First words", "Second words", "> First words\nA branch", "> A branch\nDeeper", "plain"]
+    rows = [(1, 10 * i, "u", t) for i, t in enumerate(texts)] + [(2, i, "u", f"t{i}") for i in range(300)] + [(2, 7, "v", "> t2\nagain"), (3, None, "u", "x"), (None, 1, "u", "x")] + [(4, i, "u", "> same\nsame" if i else "same") for i in range(200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_quotes.linked(df.repartition(7)).collect()
+    at = {(r.conv_id, r.turn, r.role): (r.reply_to, r.root, r.depth, r.position) for r in got}
+    assert [at[1, 10 * i, "u"] for i in range(5)] == [(None, 0, 0, 0), (0, 0, 1, 1), (0, 0, 1, 2), (20, 0, 2, 3), (30, 0, 3, 4)]
+    assert all(at[2, i, "u"] == (i - 1 if i else None, 0, i, i) for i in range(300)) and at[2, 7, "v"] == (2, 0, 3, 7)
+    assert at[3, None, "u"] == at[None, 1, "u"] == (None, None, None, None) and len(got) == len(rows)
+    assert all(at[4, i, "u"] == (i - 1, 0, i, i) for i in range(1, 200))
+
+
+def test_quotes_in_a_long_message(spark):
+    """20,000 lines in runs of two levels, with a column that has the name of a result."""
+    text = "\n".join(("> " if i // 3 % 2 else "") + f"line {i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, 0, "u", "line 3\nline 4\nline 5", 1), (1, 1, "u", text, 2)], "conv_id long, turn long, role string, text string, position int")
+    got = {r.turn: r for r in chat_quotes.linked(df).collect()}
+    assert (got[1].n_quotes, got[1].n_linked, got[1].reply_to, got[0].position) == (3333, 1, 0, 0)
+
+
 def test_turn_before_a_gap(spark):
     turns = [(c, t) for c in (1, 2, 3) for t in (2, 10, 20, 21, 500)]
     df = spark.createDataFrame([(c, t, "u", "x") for c, t in turns], "conv_id long, turn long, role string, text string")
@@ -347,6 +368,12 @@ def test_turn_before_a_gap(spark):
     assert got == {(c, t): {2: None, 10: 2, 20: 10, 21: 20, 500: 21}[t] for c, t in turns}
 
 
+def test_quotes_query_against_sql(spark):
+    import oracle
+
+    assert oracle.compare(spark, "op8", queries.op8_quotations, queries.ORACLE_SQL["op8_quotations"], SMALL) > 0
+
+
 def test_hashes_do_not_depend_on_the_place():
     x = flat.PrefixHash(np.arange(50, dtype=np.uint64))
     y = flat.PrefixHash(np.arange(10, 30, dtype=np.uint64))
