@@ -380,9 +380,98 @@ def test_hashes_do_not_depend_on_the_place():
     assert x.ranges(np.array([12]), np.array([20]))[0] == y.ranges(np.array([2]), np.array([10]))[0] == x.windows(8)[12]
 
 
-def test_pipeline(spark):
+
+
+def test_suffix_query_against_brute_force(spark):
+    texts = {r.doc_id: (r.text or "").encode() for r in queries.table(spark, SMALL, "documents").collect()}
+    seen = collections.Counter(b[p : p + 200] for b in texts.values() for p in range(len(b) - 199))
+    removed = 0
+    for r in queries.op6_suffix_dedup(spark, SMALL).collect():
+        data = texts[r.doc_id]
+        gone = np.zeros(len(data) + 1, np.int64)
+        for p in range(len(data) - 199):
+            if seen[data[p : p + 200]] > 1:
+                gone[p] += 1
+                gone[p + 200] -= 1
+        gone = np.cumsum(gone[:-1]) > 0
+        kept = hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest()
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(data), gone.sum(), (np.diff(gone.astype(int), prepend=0) == 1).sum(), kept)
+        removed += r.n_removed
+    assert removed > 1000
+
+
+def library_ids(spark, kind, end):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.vocabulary(kind))
+    return {r.doc_id: [*plain.encode(r.text or "", add_special_tokens=False).ids, end] for r in queries.table(spark, SMALL, "documents").collect()}
+
+
+def test_token_query_against_the_library(spark):
+    ids, start = library_ids(spark, "bytes", 2), 0
+    got = {r.doc_id: r for r in queries.op3_token_planes(spark, SMALL).collect()}
+    for doc in sorted(ids):
+        own = np.array(ids[doc], "<u4")
+        assert (got[doc].start, got[doc].n_tokens, got[doc].ids_crc32) == (start, len(own), zlib.crc32(own.tobytes()))
+        start += len(own)
+    assert len(got) == len(ids)
+
+
+def test_packing_query_against_the_library(spark):
+    """Each id lies in exactly one piece; sequences are gapless and at most 2048 long; little is padded."""
+    ids, pieces, sequences = library_ids(spark, "words", 1), collections.defaultdict(list), collections.defaultdict(list)
+    for r in queries.op10_packing(spark, SMALL).collect():
+        own = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert len(own) == r.length > 0 and r.ids_crc32 == zlib.crc32(own.tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for doc, own in ids.items():
+        at = 0
+        for start, length in sorted(pieces[doc]):
+            assert start == at
+            at += length
+        assert at == len(own)
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(map(len, ids.values()))
+    assert total / (2048 * len(sequences)) > 0.95
+
+
+def test_pipeline_against_its_stages(spark):
+    """Toxic documents, all but one of each class, and documents with a benchmark passage go; secrets are marked; the rest is packed."""
     import corpus_pipeline
 
+    docs = queries.table(spark, SMALL, "documents")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    toxic = {r.doc_id for r in toxicity.toxicity(docs, queries.table(spark, SMALL, "labels")).collect() if r.predicted}
+    left = docs.filter(~docs.doc_id.isin(list(toxic)))
+    hashed = {i: near_dup.word_hashes([t])[0] for i, t in text.items() if i not in toxic}
+    root = {i: i for i in hashed}
+    for i in sorted(hashed):
+        for j in sorted(hashed):
+            if j < i and near_dup.jaccard(hashed[i], hashed[j]) >= 0.8 and near_dup.aligned(hashed[i], hashed[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if x == b else x for k, x in root.items()}
+    leaks = {r.doc_id for r in decontaminate.contaminated(left, queries.table(spark, SMALL, "benchmark")).collect()}
+    want = {i for i in root if root[i] == i} - leaks
     got = corpus_pipeline.run(spark, SMALL).collect()
-    n = queries.table(spark, SMALL, "documents").count()
-    assert 0 < len({r.doc_id for r in got}) <= n and len(corpus_pipeline.STAGES) == 5
+    assert {r.doc_id for r in got} == want and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secret_scan", "packing"]
+    assert all(sum(r.length for r in got if r.doc_id == i) == next(r.doc_tokens for r in got if r.doc_id == i) for i in want)
+
+
+def test_pipeline_stages_keep_odd_rows(spark, tmp_path):
+    """Null and empty texts, null ids, equal rows and clashing names go through every stage; an empty table gives an empty one."""
+    import corpus_pipeline
+
+    rows = [(1, None, "a", 1), (2, "", "b", 2), (None, "some words of a text without an id", "c", 3), (4, "password=abcdef123 and more words here", "d", 4), (4, "password=abcdef123 and more words here", "d", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string, start int")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, df.limit(0), SMALL).count() == 0
+        kept[name] = stage(spark, df, SMALL).collect()
+    assert [len(kept[n]) for n, _ in corpus_pipeline.STAGES[:4]] == [5, 3, 5, 5] and len({r.doc_id for r in kept["packing"]}) == 4
+    assert all(r.text.startswith("[secret]") for r in kept["secret_scan"] if r.doc_id == 4)
