@@ -307,7 +307,8 @@ def test_leaks_against_brute_force(spark):
 
 
 def test_nearest_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 300)
+    for name, value in {"BLOCK": 300, "CHUNK": 4, "FAN": 3}.items():
+        monkeypatch.setattr(ann, name, value)
     r = np.random.default_rng(4)
     data = r.standard_normal((1000, 16)).astype(np.float32)
     data[500:520] = data[0]
