@@ -25,14 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .flat import FlatTexts, PrefixHash, char_hash
-from .shared import slices
+from .shared import ragged, slices
 
 #: Probability of a single letter that the language's pieces don't have.
 FLOOR = 1e-9
 #: Words up to so many characters are scored side by side, longer ones one by one.
 SIDE_BY_SIDE = 24
-#: Bytes of text whose distinct words are scored together.
+#: Bytes of text that are cut into words at once.
 SLICE = 4 << 20
+#: Characters of distinct words that are scored together, and that a worker holds before it scores them.
+TOGETHER, MOST = 1 << 20, 8 << 20
 COUNTS = "lang string, piece int, n double"
 _MARK = ord("▁")
 
@@ -57,17 +59,15 @@ class Pieces:
             bits[(keys >> np.uint64(48)).astype(np.int64)] = True
             self.by[n] = (keys, np.array([k for _, k in own], np.int64), bits)
 
-    def match(self, hashes: PrefixHash, n: int) -> np.ndarray:
-        """The piece number of each window of n characters, or -1."""
-        h = hashes.windows(n)
-        out = np.full(len(h), -1, np.int64)
-        if n in self.by and len(h):
-            keys, pieces, bits = self.by[n]
-            may = np.flatnonzero(bits[(h >> np.uint64(48)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(keys, h[may]), len(keys) - 1)
-            hit = keys[at] == h[may]
-            out[may[hit]] = pieces[at[hit]]
-        return out
+    def match(self, hashes: PrefixHash, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the places `at` where a piece of n characters begins, and its number."""
+        keys, pieces, bits = self.by[n]
+        h = hashes.ranges(at, at + n)
+        may = np.flatnonzero(bits[(h >> np.uint64(48)).astype(np.int64)])
+        h = h[may]
+        near = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        hit = keys[near] == h
+        return at[may[hit]], pieces[near[hit]]
 
 
 @lru_cache(maxsize=2)
@@ -76,28 +76,28 @@ def pieces_of(path: str) -> Pieces:
 
 
 class Words:
-    """Words as characters, the mark before each."""
+    """Words as characters, the mark before each: from the characters of all and the length of each."""
 
-    def __init__(self, codes: list[np.ndarray]):
-        self.n = np.fromiter((len(c) + 1 for c in codes), np.int64, len(codes))
+    def __init__(self, codes: np.ndarray, length: np.ndarray):
+        self.n = length + 1
         self.end = np.cumsum(self.n)
         self.start = self.end - self.n
         flat = np.empty(int(self.n.sum()), np.uint32)
-        if len(codes):
-            body = np.ones(len(flat), bool)
-            body[self.start] = False
-            flat[self.start] = _MARK
-            flat[body] = np.concatenate(codes)
+        body = np.ones(len(flat), bool)
+        body[self.start] = False
+        flat[self.start] = _MARK
+        flat[body] = codes
         self.hashes = PrefixHash(char_hash()[flat])
 
     def occurrences(self, pieces: Pieces) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
         """For each length: word, flat start and piece of all occurrences of pieces, and the length."""
         word = np.repeat(np.arange(len(self.n)), self.n)
+        at = np.arange(len(word))
+        rest = self.end[word] - at
         for n in sorted(pieces.by):
-            got = pieces.match(self.hashes, n)
-            at = np.flatnonzero(got >= 0)
-            at = at[at + n <= self.end[word[at]]]
-            yield word[at], at, got[at], n
+            at = at[rest[at] >= n]  # no longer piece fits where this one doesn't
+            found, piece = pieces.match(self.hashes, at, n)
+            yield word[found], found, piece, n
 
 
 def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray | None = None, weights: np.ndarray | None = None) -> np.ndarray:
@@ -108,10 +108,10 @@ def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray
     """
     k, total = prob.shape[1], int(words.n.sum())
     step: dict[int, tuple[np.ndarray, np.ndarray]] = {n: (at, piece) for _, at, piece, n in words.occurrences(pieces)}
-    index = {n: np.full(total + 1, pieces.size, np.int64) for n in step}
+    index = {n: np.full(total + 1, pieces.size, np.int32) for n in step}
     for n, (at, piece) in step.items():
         index[n][at] = piece
-    index.setdefault(1, np.full(total + 1, pieces.size, np.int64))
+    index.setdefault(1, np.full(total + 1, pieces.size, np.int32))
     table = np.vstack([prob, np.zeros((1, k))])
     single = np.maximum(table, FLOOR)
     out, used, mass = np.zeros((len(words.n), k)), [], []
@@ -126,9 +126,12 @@ def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray
             alpha = np.zeros((length + 1, len(group), k))
             alpha[0] = 1.0
             for i in range(1, length + 1):
+                alpha[i] = alpha[i - 1] * single[index[1][start + i - 1]]
                 for n in reach:
-                    if n <= i:
-                        alpha[i] += alpha[i - n] * (single if n == 1 else table)[index[n][start + i - n]]
+                    if 1 < n <= i:
+                        piece = index[n][start + i - n]
+                        has = np.flatnonzero(piece < pieces.size)
+                        alpha[i][has] += alpha[i - n][has] * table[piece[has]]
             scale = np.log(alpha)
         else:
             for i in range(1, length + 1):
@@ -147,11 +150,16 @@ def forward(words: Words, pieces: Pieces, prob: np.ndarray, expected: np.ndarray
                 for n in reach:
                     if i + n <= length:
                         piece = index[n][start + i]
-                        ahead = (single if n == 1 else table)[piece] * beta[i + n]
-                        beta[i] += ahead
                         has = np.flatnonzero(piece < pieces.size)
+                        if n == 1:
+                            ahead = single[piece] * beta[i + 1]
+                            beta[i] += ahead
+                            ahead = ahead[has]
+                        else:
+                            ahead = table[piece[has]] * beta[i + n][has]
+                            beta[i][has] += ahead
                         used.append(piece[has])
-                        mass.append(alpha[i][has] * ahead[has] * (table[piece[has]] > 0))
+                        mass.append(alpha[i][has] * ahead * (table[piece[has]] > 0))
         else:
             beta = np.full((length + 1, len(group), k), -np.inf)  # logs
             beta[length] = 0.0
@@ -177,30 +185,84 @@ def _distinct(flat: FlatTexts, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return np.unique(flat.hashes().ranges(start, end), return_index=True, return_inverse=True)
 
 
+def _codes(flat: FlatTexts, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of some words, one after the other, and their lengths."""
+    return flat.codes[ragged(start, end - start)], end - start
+
+
+class _Tally:
+    """The distinct words of a worker's texts and how often each occurs in each language, until they are taken."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.names, self.keys, self.place = [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.codes, self.length, self.weights, self.chars = [], [], np.zeros((0, 0)), 0
+
+    def add(self, flat: FlatTexts, own: list[str]) -> None:
+        start, end = flat.words("alpha")
+        if not len(start):
+            return
+        self.names += sorted(set(own).difference(self.names))
+        number_of = {name: k for k, name in enumerate(self.names)}
+        lang, k = np.array([number_of[x] for x in own])[flat.doc_of(start)], len(self.names)
+        keys, first, number = _distinct(flat, start, end)
+        weights = np.bincount(number * k + lang, minlength=len(keys) * k).reshape(-1, k).astype(float)
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        old = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(~old)
+        before = len(self.keys)
+        grown = np.zeros((before + len(new), k))
+        grown[:before, : self.weights.shape[1]] = self.weights
+        grown[self.place[at[old]]] += weights[old]
+        grown[before:] = weights[new]
+        codes, length = _codes(flat, start[first[new]], end[first[new]])
+        self.codes.append(codes)
+        self.length.append(length)
+        self.chars += len(codes) + len(length)
+        both = np.concatenate([self.keys, keys[new]])
+        order = np.argsort(both, kind="stable")
+        self.keys, self.weights = both[order], grown
+        self.place = np.concatenate([self.place, np.arange(before, len(grown))])[order]
+
+    def take(self) -> Iterator[tuple[Words, np.ndarray]]:
+        """All words with their weights, in parts of about TOGETHER characters; they are forgotten then."""
+        if self.codes:
+            codes, length = np.concatenate(self.codes), np.concatenate(self.length)
+            end = np.cumsum(length)
+            part = np.cumsum(length + 1) // TOGETHER
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(length)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    yield Words(codes[end[a] - length[a] : end[b - 1]], length[a:b]), self.weights[a:b]
+        self.clear()
+
+
 def _counter(path: str, langs: list[str] | None, prob: np.ndarray | None):
     """Counts pieces by language: occurrences, or expected counts under prob (pieces, languages)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, total = pieces_of(path), {}
-        for batch in slices(batches, most=SLICE):
-            flat, own = FlatTexts(batch.column("text").to_pylist()), batch.column("lang").to_pylist()
-            start, end = flat.words("alpha")
-            if not len(start):
-                continue
-            names = sorted(set(own))
-            lang = np.array([names.index(x) for x in own])[flat.doc_of(start)]
-            _, first, number = _distinct(flat, start, end)
-            weights = np.bincount(number * len(names) + lang, minlength=len(first) * len(names)).reshape(-1, len(names)).astype(float)
-            words = Words([flat.codes[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
+        pieces, total, tally = pieces_of(path), {}, _Tally()
+
+        def count() -> None:
+            names = list(tally.names)
             sums = np.zeros((pieces.size, len(names)))
-            if prob is None:
-                for word, _, piece, _ in words.occurrences(pieces):
-                    for k in range(len(names)):
-                        sums[:, k] += np.bincount(piece, weights[word, k], pieces.size)
-            else:
-                forward(words, pieces, prob[:, [langs.index(x) for x in names]], sums, weights)
+            for words, weights in tally.take():
+                if prob is None:
+                    for word, _, piece, _ in words.occurrences(pieces):
+                        for k in range(len(names)):
+                            sums[:, k] += np.bincount(piece, weights[word, k], pieces.size)
+                else:
+                    forward(words, pieces, prob[:, [langs.index(x) for x in names]], sums, weights)
             for k, name in enumerate(names):
                 total[name] = total.get(name, 0) + sums[:, k]
+
+        for batch in slices(batches, most=SLICE):
+            tally.add(FlatTexts(batch.column("text").to_pylist()), batch.column("lang").to_pylist())
+            if tally.chars > MOST:
+                count()
+        count()
         for name, sums in total.items():
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(sums[at])], names=["lang", "piece", "n"])
@@ -264,11 +326,11 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, path: str, keep
             if len(start) and langs:
                 keys, first, number = _distinct(flat, start, end)
                 if len(new := np.flatnonzero(known.find(keys) < 0)):
-                    words = Words([flat.codes[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+                    words = Words(*_codes(flat, start[first[new]], end[first[new]]))
                     if len(known.keys) > known.limit:  # what is dropped is scored again with the rest
                         known = _Known(len(langs))
                         new = np.arange(len(keys))
-                        words = Words([flat.codes[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
+                        words = Words(*_codes(flat, start[first], end[first]))
                     known.add(keys[new], forward(words, pieces, prob))
                 value = known.values[known.find(keys)][number]
                 doc = flat.doc_of(start)

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 
@@ -130,7 +131,7 @@ def test_language_forward_sums_all_segmentations():
     pieces = language_id.pieces_of(queries.vocabulary("pieces"))
     prob = np.random.default_rng(0).random((pieces.size, 2)) * 1e-3
     word = "thanden"
-    words = language_id.Words([np.array([ord(c) for c in word], np.uint32)])
+    words = language_id.Words(np.array([ord(c) for c in word], np.uint32), np.array([len(word)]))
     own = {}
     for _, at, piece, n in words.occurrences(pieces):
         own |= {(int(a), n): int(p) for a, p in zip(at, piece, strict=True)}
@@ -149,6 +150,29 @@ def test_language_forward_sums_all_segmentations():
     assert np.allclose(got[0], np.log([total(0, 0), total(0, 1)])) and (expected.sum(0) > 1).all()
 
 
+def test_words_are_tallied_over_batches(monkeypatch):
+    path = queries.vocabulary("pieces")
+    texts = [("eins zwei drei zwei", "de"), ("one two three two eins", "en"), ("", "en"), ("zwei " * 50 + "x" * 300, "de"), ("tres dos dos", "es")]
+
+    def batches(size):
+        return iter(pa.table({"text": [t for t, _ in texts], "lang": [x for _, x in texts]}).to_batches(max_chunksize=size))
+
+    def counts(prob, size, most, together):
+        monkeypatch.setattr(language_id, "MOST", most)
+        monkeypatch.setattr(language_id, "TOGETHER", together)
+        out = collections.Counter()
+        for batch in language_id._counter(path, ["de", "en", "es"], prob)(batches(size)):
+            for lang, piece, n in zip(*(batch[c].to_pylist() for c in ("lang", "piece", "n")), strict=True):
+                out[lang, piece] += n
+        return out
+
+    for prob in (None, np.random.default_rng(1).random((language_id.pieces_of(path).size, 3)) / 1000):
+        whole = counts(prob, 5, 8 << 20, 1 << 20)
+        for size, most, together in ((1, 8 << 20, 1 << 20), (1, 8 << 20, 7), (2, 0, 1 << 20)):
+            parts = counts(prob, size, most, together)
+            assert set(parts) == set(whole) and all(abs(parts[x] - whole[x]) < 1e-9 for x in whole)
+
+
 def test_language_held_out(spark):
     rows = queries.op2_language_id(spark, SMALL).collect()
     truth = {r.doc_id: r.lang for r in queries.table(spark, SMALL, "documents").collect()}
