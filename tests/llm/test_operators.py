@@ -111,14 +111,19 @@ def test_ledger_scans_a_pair_of_blob_and_rule_once(spark, tmp_path, monkeypatch)
     assert secret_scan.scan_versions(more, ledger).count() == 3
 
 
-def test_secret_query_against_brute_force(spark):
-    """The three base patterns as the contract words them, on whole texts."""
+def test_secret_query_against_brute_force(spark, tmp_path):
+    """The three base patterns as the contract words them, on whole texts: the table's, and those with secrets, near misses and ties."""
     import re
 
     patterns = [("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII, 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 0, 20), ("hex", r"[0-9a-f]+", 0, 0, 24)]
-    text = {r.doc_id: r.text or "" for r in queries.table(spark, SMALL, "documents").collect()}
+    key, sha = "AKIA" + "Z9" * 8, "0123456789abcdef" * 2
+    planted = [f"password = '{sha}'", f"x API_KEY:{key}; apikey={key}", f"é\U0001f600 {key} {sha}", "token: abc", "AKIASHORT " + sha[:23], f"{'word ' * 5000}SECRET=\"{sha}\"", f"secret=token:abcdef passwd=secret=x{sha}", f"AKIAAKIA{key}", f"passwd  =  {key}{sha}", None, "", f"password = '{sha}'"]
+    documents = queries.table(spark, SMALL, "documents").select("doc_id", "text")
+    extra = spark.createDataFrame([(1_000_000 + k, x) for k, x in enumerate(planted)], "doc_id long, text string")
+    documents.unionByName(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in queries.table(spark, str(tmp_path), "documents").collect()}
     found = 0
-    for r in queries.op1_secret_scan(spark, SMALL).collect():
+    for r in queries.op1_secret_scan(spark, str(tmp_path)).collect():
         spans = [(m.start(), k, kind, m.end()) for k, (kind, p, flags, group, least) in enumerate(patterns) for m in re.finditer(p, text[r.doc_id], flags) if len(m[group]) >= least]
         listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(spans))
         assert (r.base_sha256, r.spans) == (hashlib.sha256(listed.encode()).hexdigest(), listed)
